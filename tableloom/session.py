@@ -20,6 +20,7 @@ def build_session(cores: int | str = "*", app_name: str = "tableloom") -> SparkS
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="/tmp/run-"))
     )

@@ -32,7 +32,7 @@ def header_names(cells: list[str | None]) -> list[str]:
     for index, cell in enumerate(cells):
         base = f"unnamed_{index}" if cell is None or cell == "" else cell
         if index == 0:
-            base = base.removeprefix("﻿")
+            base = base.removeprefix("\ufeff")
         name, number = base, 0
         while name.lower() in used:
             number += 1

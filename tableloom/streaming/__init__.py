@@ -1,0 +1,4 @@
+from tableloom.streaming.arrivals import ingest_new_files, stream_csv
+from tableloom.streaming.conversation_state import conversation_state, latest_state, run_state
+
+__all__ = ["conversation_state", "ingest_new_files", "latest_state", "run_state", "stream_csv"]
