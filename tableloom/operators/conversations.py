@@ -213,23 +213,18 @@ def context_per_question(
     )
 
 
-def session_epochs(log: DataFrame) -> DataFrame:
+def session_epochs(log: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Messages since the last reset, which is a system message, and its number.
 
-    Only system messages are counted per conversation; the log itself is not
-    gathered by conversation.
+    ``epoch`` counts the resets up to a message; a message is kept if no reset
+    comes after it. Both are running counts, so no row has to meet a total of
+    its conversation in a join on ``conv_id`` alone.
     """
-    resets = (
-        log.where(F.col("role") == "system")
-        .groupBy("conv_id")
-        .agg(F.max("turn").alias("_last_reset"), F.count(F.lit(1)).alias("_resets"))
-    )
-    return (
-        log.join(resets, "conv_id", "left")
-        .where(F.col("_last_reset").isNull() | (F.col("turn") >= F.col("_last_reset")))
-        .withColumn("epoch", F.coalesce("_resets", F.lit(0)).cast("bigint"))
-        .drop("_last_reset", "_resets")
-    )
+    groups = _groups(log, block_rows)
+    reset = F.when(F.col("role") == "system", 1).otherwise(0).cast("bigint")
+    counted = groups.running_sum(log.withColumn("_reset", reset), F.col("_reset"), "epoch")
+    to_end = groups.running_sum(counted, F.col("_reset"), "_to_end", descending=True)
+    return to_end.where(F.col("_to_end") == F.col("_reset")).drop("_reset", "_to_end")
 
 
 def history_by_role(log: DataFrame) -> DataFrame:

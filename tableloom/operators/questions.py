@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tableloom.functions.columns import column, money_sum
 from tableloom.operators.catalog import Catalog
 from tableloom.operators.profile import preview
-from tableloom.session import broadcast_if_small
+from tableloom.session import keep_matching
 
 
 def column_average(df: DataFrame, name: str, scale: int | None = None) -> DataFrame:
@@ -55,14 +55,8 @@ def orders_of_customer(
     The keys of one name are few. They are broadcast if a bounded probe proves
     it, so the orders are filtered where they are read and not shuffled.
     """
-    keys = (
-        customers.where(column(name_column) == name)
-        .select(column(customer_key).alias("_key"))
-        .distinct()
-    )
-    matching = orders.join(
-        broadcast_if_small(keys), column(order_key) == F.col("_key"), "left_semi"
-    )
+    named = customers.where(column(name_column) == name)
+    matching = keep_matching(orders, order_key, named, customer_key)
     return matching.agg(F.count(F.lit(1)).alias("n_orders")).select(
         F.lit(name).alias("customer_name"), "n_orders"
     )

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.columns import column
 from tableloom.operators.ordered_groups import BLOCK_ROWS, OrderedGroups
-from tableloom.session import broadcast_if_small, cut_lineage
+from tableloom.session import cut_lineage, keep_matching
 
 _GENERATED = r"(?s)^(.*)_v([1-9][0-9]*)$"
 
@@ -43,31 +43,37 @@ def assign_name(base: str, used: set[str]) -> str:
     return name
 
 
-def _numbered(base: str, number: str, out: str) -> Column:
+def _numbered(base: Column, number: str, out: str) -> Column:
     return (
-        F.when(F.col(number) == 0, F.col(base))
-        .otherwise(F.concat(F.col(base), F.lit("_v"), F.col(number)))
+        F.when(F.col(number) == 0, base)
+        .otherwise(F.concat(base, F.lit("_v"), F.col(number)))
         .alias(out)
     )
 
 
-def _rivals(bases: DataFrame) -> DataFrame:
-    """(parent, k, base, arrival, depth) for bases that compete with a present parent."""
-    candidates = bases.select(
+def _candidates(bases: DataFrame) -> DataFrame:
+    """Bases that look like a generated name, as (parent, k, base, arrival)."""
+    return bases.select(
         F.regexp_extract("base", _GENERATED, 1).alias("parent"),
         F.regexp_extract("base", _GENERATED, 2).try_cast("bigint").alias("k"),
         "base",
         "arrival",
     ).where(F.col("k").isNotNull())
-    parents = bases.select(F.col("base").alias("parent"), F.col("files").alias("parent_files"))
-    return candidates.join(parents, "parent")
 
 
-def _reachable(rivals: DataFrame) -> DataFrame:
-    """Rivals whose number the parent could reach at all; the others win unopposed."""
-    per_parent = rivals.groupBy("parent").agg(F.count(F.lit(1)).alias("rival_count"))
-    return rivals.join(per_parent, "parent").where(
-        F.col("k") <= F.col("parent_files") + F.col("rival_count")
+def _rivals(bases: DataFrame) -> DataFrame:
+    """Candidates whose parent is present and could reach their number at all.
+
+    A parent needs no number above its number of files plus the numbers that
+    rivals took; candidates above that win unopposed.
+    """
+    candidates = _candidates(bases)
+    most = candidates.count()
+    parents = bases.select(F.col("base").alias("parent"), F.col("files").alias("parent_files"))
+    return (
+        candidates.join(parents, "parent")
+        .where(F.col("k") <= F.col("parent_files") + most)
+        .drop("parent_files")
     )
 
 
@@ -106,20 +112,20 @@ def unique_names(
     bases = arrivals.groupBy("base").agg(
         F.min("position").alias("arrival"), F.count(F.lit(1)).alias("files")
     )
-    rivals = _rivals(bases)
-
-    if rivals.isEmpty():
+    rivals = None
+    if not _candidates(bases).isEmpty():
+        # Written out, so that the join with a hot parent is one adaptive
+        # execution can split.
+        rivals = cut_lineage(_rivals(cut_lineage(bases)))
+    if rivals is None or rivals.isEmpty():
         named = OrderedGroups((base,), position, groups.levels, block_rows).positions(
             files, "_number"
         )
-        return named.withColumn("_number", F.col("_number") - 1).select(
-            *[column(c) for c in files.columns],
-            F.when(F.col("_number") == 0, column(base))
-            .otherwise(F.concat(column(base), F.lit("_v"), F.col("_number")))
-            .alias(out),
+        return (
+            named.withColumn("_number", F.col("_number") - 1)
+            .select(*[column(c) for c in files.columns], _numbered(column(base), "_number", out))
         )
 
-    rivals = cut_lineage(_reachable(rivals))
     occurrences = cut_lineage(groups.positions(arrivals, "occurrence"))
     # Bases whose own name was handed out before their first file arrived.
     taken = spark.createDataFrame([], "base string")
@@ -132,9 +138,8 @@ def unique_names(
         layer = pending.where(F.col("depth") == depth)
         shift = taken.select(F.col("base").alias("parent"), F.lit(1).alias("parent_shift"))
         # Files of the parent that arrived before each rival: a running count over both.
-        parents = broadcast_if_small(layer.select(F.col("parent").alias("base")).distinct())
         line = (
-            occurrences.join(parents, "base", "left_semi")
+            keep_matching(occurrences, "base", layer, "parent")
             .select(
                 F.col("base").alias("parent"),
                 "position",
@@ -206,6 +211,6 @@ def unique_names(
         .withColumn(
             "number", F.when(F.col("need") == 0, 0).otherwise(F.col("need") + F.col("skipped"))
         )
-        .select(F.col("position").alias("_position"), _numbered("base", "number", out))
+        .select(F.col("position").alias("_position"), _numbered(F.col("base"), "number", out))
     )
     return files.join(numbered, column(position) == F.col("_position")).drop("_position")

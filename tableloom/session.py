@@ -1,4 +1,4 @@
-"""Session helpers: settings, shared scratch folders and size-checked broadcast."""
+"""Session helpers: settings, shared scratch folders and size-checked broadcasts."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableloom.functions.columns import column
+
 #: A side is broadcast only when a bounded probe proves it has at most this many rows.
 BROADCAST_ROWS = 100_000
 
@@ -58,12 +60,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` is proven to hold at most ``rows`` rows.
+def keep_matching(
+    df: DataFrame, name: str, keys: DataFrame, key: str, rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rows of ``df`` whose column ``name`` occurs in column ``key`` of ``keys``.
 
-    Beyond the bound the frame is returned as it is, so the join shuffles and
-    adaptive execution may split skewed partitions.
+    The distinct keys are broadcast only if a bounded probe proves that there
+    are at most ``rows``. Otherwise both sides are shuffled as they are:
+    adaptive execution splits a hot key only when nothing, not even a distinct,
+    stands between the shuffle and the join.
     """
-    if df.limit(rows + 1).count() <= rows:
-        return F.broadcast(df)
-    return df
+    listed = keys.select(column(key).alias("_key"))
+    distinct = listed.distinct()
+    if distinct.limit(rows + 1).count() <= rows:
+        listed = F.broadcast(distinct)
+    return df.join(listed, column(name) == F.col("_key"), "left_semi")

@@ -95,7 +95,7 @@ def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .load(path)
         .select("path", "length")
         .select(
-            F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file_name"),
+            name.alias("file_name"),
             file_extension(name).alias("extension"),
             F.bround(F.col("length") / 1024, 2).alias("size_kb"),
         )
