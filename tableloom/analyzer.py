@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tableloom.operators import catalog as catalogs
@@ -11,6 +9,7 @@ from tableloom.operators import profile, questions, relationships
 from tableloom.operators.answers import Answer, answer_auto
 from tableloom.operators.catalog import Catalog
 from tableloom.operators.relationships import Relationship
+from tableloom.session import cut_lineage
 from tableloom.sources import (
     from_columns,
     load_multiple_dataframes,
@@ -34,8 +33,17 @@ class Analyzer:
         self.catalog.add(name, df, description, source)
         return df
 
-    def load_csv(self, path: str, name: str, description: str = "", **options) -> DataFrame:
-        return self._add(read_csv(self.spark, path, **options), name, description, path)
+    def load_csv(
+        self, path: str, name: str, description: str = "", store: bool = False, **options
+    ) -> DataFrame:
+        """Register a delimited file.
+
+        With ``store`` the typed table is written to the shared folder as
+        Parquet first. Later questions then read only the columns and row
+        groups they need, while the text would be parsed whole each time.
+        """
+        df = read_csv(self.spark, path, **options)
+        return self._add(cut_lineage(df) if store else df, name, description, path)
 
     def load_excel(self, path: str, name: str, description: str = "") -> DataFrame:
         return self._add(read_excel(self.spark, path), name, description, path)
@@ -134,10 +142,3 @@ class Analyzer:
 def create_analyzer(spark: SparkSession) -> Analyzer:
     return Analyzer(spark)
 
-
-def load_folder(spark: SparkSession, folder: str, names: list[str]) -> Analyzer:
-    """Analyzer over the Parquet tables ``<folder>/<name>.parquet``."""
-    analyzer = Analyzer(spark)
-    for name in names:
-        analyzer.load_parquet(os.path.join(folder, f"{name}.parquet"), name)
-    return analyzer

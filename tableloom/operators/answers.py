@@ -11,6 +11,7 @@ from tableloom.functions.columns import column
 
 #: More rows than this are a table, not a sentence.
 TEXT_ROWS = 1_000
+DATE_UNITS = ("day", "week", "month", "quarter", "year")
 
 
 class TooManyRowsError(ValueError):
@@ -94,8 +95,10 @@ def chart_histogram(df: DataFrame, name: str, bins: int) -> DataFrame:
 
 
 def chart_series(df: DataFrame, time: str, measure: Column, unit: str = "month") -> DataFrame:
-    """Measure per day, week, month, quarter or year, as a date."""
-    period = F.date_trunc(unit, column(time)).cast("date")
+    """Measure per period; from a day upwards the period is a date."""
+    period = F.date_trunc(unit, column(time))
+    if unit.lower() in DATE_UNITS:
+        period = period.cast("date")
     return (
         df.where(column(time).isNotNull())
         .groupBy(period.alias("period"))

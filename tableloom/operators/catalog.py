@@ -26,6 +26,10 @@ def safe_view_name(name: str) -> str:
     return f"t_{safe}" if safe[:1].isdigit() else safe
 
 
+def _plain(name: str) -> str:
+    return name.lower().replace(" ", "_")
+
+
 class Catalog:
     """Insertion-ordered tables, each also registered as a temporary view."""
 
@@ -37,19 +41,19 @@ class Catalog:
 
     def add(self, name: str, df: DataFrame, description: str = "", source: str = "") -> str:
         """Register a table and return the unique name it got."""
-        unique = assign_name(name.lower().replace(" ", "_"), self._names)
+        unique = assign_name(_plain(name), self._names)
         view = assign_name(safe_view_name(unique), self._views)
         df.createOrReplaceTempView(view)
         self._tables[unique] = Table(unique, df, view, description, source)
         return unique
 
     def __getitem__(self, name: str) -> Table:
-        if name not in self._tables:
+        if name not in self:
             raise KeyError(f"no table named '{name}'; known: {', '.join(self._tables)}")
-        return self._tables[name]
+        return self._tables[_plain(name)]
 
     def __contains__(self, name: str) -> bool:
-        return name in self._tables
+        return _plain(name) in self._tables
 
     def __len__(self) -> int:
         return len(self._tables)
@@ -70,8 +74,8 @@ class Catalog:
         chosen = Catalog(self.spark)
         for name in names:
             table = self[name]
-            chosen._tables[name] = table
-            chosen._names.add(name)
+            chosen._tables[table.name] = table
+            chosen._names.add(table.name)
             chosen._views.add(table.view)
         return chosen
 

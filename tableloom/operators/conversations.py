@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tableloom.operators.catalog import Catalog, table_overview
 from tableloom.operators.ordered_groups import BLOCK_ROWS, OrderedGroups
+from tableloom.session import cut_lineage
 
 # How a failed answer starts.
 FAILED_ANSWERS = ("Error generating response", "Please upload a data file first.")
@@ -82,6 +83,9 @@ def first_question(log: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         .cast("bigint")
         .alias("answered"),
     )
+    if not groups.bounded:
+        # Used twice below: for the sums of the blocks and for the rows.
+        answered = cut_lineage(answered)
     counted = groups.running_sum(answered, F.col("answered"), "answered_up_to")
     return counted.where(F.col("role") == "user").select(
         "conv_id",
@@ -222,8 +226,11 @@ def session_epochs(log: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """
     groups = _groups(log, block_rows)
     reset = F.when(F.col("role") == "system", 1).otherwise(0).cast("bigint")
-    counted = groups.running_sum(log.withColumn("_reset", reset), F.col("_reset"), "epoch")
-    to_end = groups.running_sum(counted, F.col("_reset"), "_to_end", descending=True)
+    flagged = log.withColumn("_reset", reset)
+    counted = groups.running_sum(flagged, F.col("_reset"), "epoch")
+    to_end = groups.running_sum(
+        counted, F.col("_reset"), "_to_end", descending=True, sums_of=flagged
+    )
     return to_end.where(F.col("_to_end") == F.col("_reset")).drop("_reset", "_to_end")
 
 

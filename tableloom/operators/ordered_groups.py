@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.columns import column, quoted
 
-BLOCK_ROWS = 65_536
+#: A window over this many rows is comfortable for one task; it can spill.
+BLOCK_ROWS = 262_144
 
 
 def _blocked(df: DataFrame, order: str, block_rows: int, out: str) -> DataFrame:
@@ -37,6 +38,7 @@ def _running_sum(
     descending: bool,
     block_rows: int,
     levels: int,
+    sums_of: DataFrame | None = None,
 ) -> DataFrame:
     direction = F.desc if descending else F.asc
     if levels == 0:
@@ -45,7 +47,8 @@ def _running_sum(
 
     block, carry = f"_block_{levels}", f"_carry_{levels}"
     blocked = _blocked(df, order, block_rows, block)
-    per_block = blocked.groupBy(*keys, block).agg(F.sum(value).alias("_sum"))
+    summed = blocked if sums_of is None else _blocked(sums_of, order, block_rows, block)
+    per_block = summed.groupBy(*keys, block).agg(F.sum(value).alias("_sum"))
     # Sum of all earlier blocks: the same scan, one level up, minus the own sum.
     carries = (
         _running_sum(
@@ -57,8 +60,9 @@ def _running_sum(
     )
     rows = Window.partitionBy(*keys, block).orderBy(direction(quoted(order)))
     inside = F.sum(value).over(rows.rowsBetween(Window.unboundedPreceding, 0))
+    # Hashing the few carries spares the rows a sort; each task holds only its share.
     return (
-        blocked.join(carries, [*keys, block], "left")
+        blocked.join(carries.hint("shuffle_hash"), [*keys, block], "left")
         .withColumn(out, inside + F.coalesce(F.col(carry), F.lit(0)))
         .drop(block, carry)
     )
@@ -90,9 +94,18 @@ class OrderedGroups:
         return self.levels == 0
 
     def running_sum(
-        self, df: DataFrame, value: Column, out: str, descending: bool = False
+        self,
+        df: DataFrame,
+        value: Column,
+        out: str,
+        descending: bool = False,
+        sums_of: DataFrame | None = None,
     ) -> DataFrame:
-        """Add ``out``: sum of a non-null integer ``value`` up to and with each row."""
+        """Add ``out``: sum of a non-null integer ``value`` up to and with each row.
+
+        ``sums_of`` may name a cheaper frame with the same keys, order and
+        values, from which the sums of the blocks are taken.
+        """
         return _running_sum(
             df,
             list(self.keys),
@@ -102,6 +115,7 @@ class OrderedGroups:
             descending,
             self.block_rows,
             self.levels,
+            sums_of,
         )
 
     def positions(self, df: DataFrame, out: str) -> DataFrame:

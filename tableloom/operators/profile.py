@@ -48,104 +48,133 @@ def _value(name: str) -> Column:
 
 
 class _Target:
-    """One order statistic (0-based rank) of a column, narrowed to a value range."""
+    """One order statistic (0-based rank) of a column, narrowed to a value range.
 
-    def __init__(self, name: str, rank: int, values: int, low: float, high: float):
-        self.name, self.rank = name, rank
-        self.low, self.high, self.below, self.inside = low, high, 0, values
+    The bounds are exclusive; None is no bound. ``below`` values lie under the
+    range and ``inside`` values in it.
+    """
 
-    def in_range(self) -> Column:
-        v = _value(self.name)
-        return F.when((v >= self.low) & (v <= self.high), v)
+    def __init__(self, name: str, rank: int, values: int):
+        self.name, self.rank = name, rank
+        self.low: float | None = None
+        self.high: float | None = None
+        self.below, self.inside = 0, values
+        self.value: float | None = None
 
     @property
-    def found(self) -> bool:
-        return self.low == self.high
+    def range_id(self) -> tuple:
+        return self.name, self.low, self.high
 
-    def _keep(self, low: float, high: float, skipped: int, inside: int) -> None:
-        self.low, self.high = low, high
-        self.below, self.inside = self.below + skipped, inside
+    def in_range(self) -> Column:
+        v = column(self.name)
+        if self.low is not None:
+            v = F.when(column(self.name) > self.low, v)
+        if self.high is not None:
+            v = F.when(column(self.name) < self.high, v)
+        return v
 
     def move(self, low: float, high: float, seen: dict) -> None:
         """Keep the part of the range that holds the rank."""
         local = self.rank - self.below
-        if local < seen["under_low"]:
-            self._keep(self.low, seen["before_low"], 0, seen["under_low"])
-        elif local < seen["to_low"]:
-            self._keep(low, low, seen["under_low"], seen["to_low"] - seen["under_low"])
+        if seen["under_low"] <= local < seen["to_low"]:
+            self.value = low
+        elif seen["under_high"] <= local < seen["to_high"]:
+            self.value = high
+        elif local < seen["under_low"]:
+            self.high, self.inside = low, seen["under_low"]
         elif local < seen["under_high"]:
-            inside = seen["under_high"] - seen["to_low"]
-            self._keep(seen["after_low"], seen["before_high"], seen["to_low"], inside)
-        elif local < seen["to_high"]:
-            self._keep(high, high, seen["under_high"], seen["to_high"] - seen["under_high"])
+            self.low, self.high = low, high
+            self.below += seen["to_low"]
+            self.inside = seen["under_high"] - seen["to_low"]
         else:
-            self._keep(seen["after_high"], self.high, seen["to_high"], self.inside - seen["to_high"])
+            self.low = high
+            self.below += seen["to_high"]
+            self.inside -= seen["to_high"]
+
+    def shares(self) -> list[float]:
+        return _around((self.rank - self.below) / max(1, self.inside - 1))
+
+
+def _around(share: float) -> list[float]:
+    margin = 4.0 / _SPLIT_ACCURACY
+    return [max(0.0, share - margin), min(1.0, share + margin)]
 
-    def split_points(self) -> list[float]:
-        margin = 4.0 / _SPLIT_ACCURACY
-        share = (self.rank - self.below) / max(1, self.inside - 1)
-        return [max(0.0, share - margin), min(1.0, share + margin)]
 
+def _one_pass(df: DataFrame, wanted: dict) -> dict:
+    """Aggregates by key, all computed in one pass over the table."""
+    seen = df.agg(*[expr.alias(f"a{i}") for i, expr in enumerate(wanted.values())]).first()
+    return dict(zip(wanted, seen, strict=True))
 
-def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    """Shrink the range of every open target by a factor in the thousands.
+
+def _narrow(df: DataFrame, targets: list[_Target], proposals: list[list[float]]) -> None:
+    """Find the value of every target or shrink its range by a factor in the thousands.
 
     Approximate percentiles only propose two values. Exact counts decide where
-    the rank lies: at one of them, below, between or above. Every case leaves a
-    smaller range, so the narrowing ends, and no approximation error can enter.
+    the rank lies: at one of them, below, between or above. The proposed values
+    leave the range, so the narrowing ends, and no approximation error can enter.
     """
-    proposals = df.agg(
-        *[
-            F.percentile_approx(t.in_range(), t.split_points(), _SPLIT_ACCURACY).alias(f"p{i}")
-            for i, t in enumerate(targets)
-        ]
-    ).first()
-    checks = []
-    for i, t in enumerate(targets):
-        low, high = proposals[i]
+    checks = {}
+    for t, (low, high) in zip(targets, proposals, strict=True):
         v = t.in_range()
-        checks.append(
-            F.struct(
-                F.count_if(v < low).alias("under_low"),
-                F.count_if(v <= low).alias("to_low"),
-                F.count_if(v < high).alias("under_high"),
-                F.count_if(v <= high).alias("to_high"),
-                F.max(F.when(v < low, v)).alias("before_low"),
-                F.min(F.when(v > low, v)).alias("after_low"),
-                F.max(F.when(v < high, v)).alias("before_high"),
-                F.min(F.when(v > high, v)).alias("after_high"),
-            ).alias(f"c{i}")
+        checks[t.range_id, low, high] = F.struct(
+            F.count_if(v < low).alias("under_low"),
+            F.count_if(v <= low).alias("to_low"),
+            F.count_if(v < high).alias("under_high"),
+            F.count_if(v <= high).alias("to_high"),
         )
-    for t, (low, high), seen in zip(targets, proposals, df.agg(*checks).first(), strict=True):
-        t.move(low, high, seen.asDict())
+    seen = _one_pass(df, checks)
+    for t, (low, high) in zip(targets, proposals, strict=True):
+        t.move(low, high, seen[t.range_id, low, high].asDict())
 
 
 def _order_statistics(
-    df: DataFrame,
-    wanted: dict[str, set[int]],
-    ranges: dict[str, tuple[int, float, float]],
-    exact_values: int,
+    df: DataFrame, targets: list[_Target], proposals: list[list[float]], exact_values: int
 ) -> dict[tuple[str, int], float]:
-    """Values at the wanted ranks; no task sorts more than ``_SORTED_VALUES`` per rank."""
+    """Values at the targets' ranks; a task sorts at most ``_SORTED_VALUES`` per rank."""
     bound = min(exact_values, _SORTED_VALUES)
-    targets = [_Target(n, r, *ranges[n]) for n, ranks in wanted.items() for r in sorted(ranks)]
-    while True:
-        wide = [t for t in targets if not t.found and t.inside > bound]
-        if not wide:
-            break
-        _narrow(df, wide)
-    open_targets = [t for t in targets if not t.found]
+    wide = targets
+    while wide:
+        _narrow(df, wide, proposals)
+        wide = [t for t in targets if t.value is None and t.inside > bound]
+        if wide:
+            sketches = {
+                (t.range_id, *t.shares()): F.percentile_approx(
+                    t.in_range(), t.shares(), _SPLIT_ACCURACY
+                )
+                for t in wide
+            }
+            seen = _one_pass(df, sketches)
+            proposals = [seen[t.range_id, *t.shares()] for t in wide]
+    open_targets = [t for t in targets if t.value is None]
     if open_targets:
         # Each range is counted, so the lists have a proven bound.
-        picked = df.agg(
-            *[
-                F.sort_array(F.collect_list(t.in_range()))[t.rank - t.below].alias(f"v{i}")
-                for i, t in enumerate(open_targets)
-            ]
-        ).first()
-        for t, value in zip(open_targets, picked, strict=True):
-            t.low = t.high = value
-    return {(t.name, t.rank): t.low for t in targets}
+        lists = {t.range_id: F.sort_array(F.collect_list(t.in_range())) for t in open_targets}
+        seen = _one_pass(df, lists)
+        for t in open_targets:
+            t.value = seen[t.range_id][t.rank - t.below]
+    return {(t.name, t.rank): t.value for t in targets}
+
+
+def _large_quartiles(
+    df: DataFrame, names: list[str], basics: dict, exact_values: int
+) -> dict[str, list[float]]:
+    spots = {n: [q * (basics[n]["count"] - 1) for q in _QUARTILES] for n in names}
+    targets, proposals = [], []
+    for n in names:
+        seen = basics[n]
+        for q, spot in enumerate(spots[n]):
+            for rank in (int(spot), min(int(spot) + 1, seen["count"] - 1)):
+                targets.append(_Target(n, rank, seen["count"]))
+                proposals.append(seen["around"][2 * q : 2 * q + 2])
+    at = _order_statistics(df, targets, proposals, exact_values)
+    result = {}
+    for n in names:
+        last = basics[n]["count"] - 1
+        result[n] = [
+            at[n, int(s)] + (at[n, min(int(s) + 1, last)] - at[n, int(s)]) * (s - int(s))
+            for s in spots[n]
+        ]
+    return result
 
 
 def table_stats(
@@ -158,52 +187,44 @@ def table_stats(
     first, because ``percentile`` would gather all distinct values in one task.
     """
     names = columns if columns is not None else _numeric_columns(df)
-    basics = df.agg(
-        *[
-            F.struct(
-                F.count(_value(n)).alias("count"),
-                F.avg(_value(n)).alias("mean"),
-                F.stddev_samp(_value(n)).alias("std"),
-                F.min(_value(n)).alias("min"),
-                F.max(_value(n)).alias("max"),
-            ).alias(f"c{i}")
-            for i, n in enumerate(names)
-        ]
-    ).first()
-    seen = dict(zip(names, basics, strict=True)) if names else {}
+    spark = df.sparkSession
+    df = df.select(*[_value(n).alias(n) for n in names])
+    around = [share for q in _QUARTILES for share in _around(q)]
+    basics = {}
+    if names:
+        wanted = {
+            n: F.struct(
+                F.count(column(n)).alias("count"),
+                F.avg(column(n)).alias("mean"),
+                F.stddev_samp(column(n)).alias("std"),
+                F.min(column(n)).alias("min"),
+                F.max(column(n)).alias("max"),
+                F.percentile_approx(column(n), around, _SPLIT_ACCURACY).alias("around"),
+            )
+            for n in names
+        }
+        basics = _one_pass(df, wanted)
     quartiles: dict[str, list[float | None]] = {n: [None] * len(_QUARTILES) for n in names}
-    small = [n for n in names if 0 < seen[n]["count"] <= exact_values]
-    large = [n for n in names if seen[n]["count"] > exact_values]
+    small = [n for n in names if 0 < basics[n]["count"] <= exact_values]
+    large = [n for n in names if basics[n]["count"] > exact_values]
     if small:
-        found = df.agg(*[F.percentile(_value(n), list(_QUARTILES)) for n in small]).first()
-        quartiles.update({n: list(v) for n, v in zip(small, found, strict=True)})
+        exact = {n: F.percentile(column(n), list(_QUARTILES)) for n in small}
+        quartiles.update(_one_pass(df, exact))
     if large:
-        spots = {n: [q * (seen[n]["count"] - 1) for q in _QUARTILES] for n in large}
-        wanted = {
-            n: {rank for s in spots[n] for rank in (int(s), min(int(s) + 1, seen[n]["count"] - 1))}
-            for n in large
-        }
-        ranges = {n: (seen[n]["count"], seen[n]["min"], seen[n]["max"]) for n in large}
-        at = _order_statistics(df, wanted, ranges, exact_values)
-        for n in large:
-            last = seen[n]["count"] - 1
-            quartiles[n] = [
-                at[n, int(s)] + (at[n, min(int(s) + 1, last)] - at[n, int(s)]) * (s - int(s))
-                for s in spots[n]
-            ]
+        quartiles.update(_large_quartiles(df, large, basics, exact_values))
     rows = [
         (
             n,
-            seen[n]["count"],
-            seen[n]["mean"],
-            seen[n]["std"],
-            seen[n]["min"],
+            basics[n]["count"],
+            basics[n]["mean"],
+            basics[n]["std"],
+            basics[n]["min"],
             *quartiles[n],
-            seen[n]["max"],
+            basics[n]["max"],
         )
         for n in names
     ]
-    return df.sparkSession.createDataFrame(
+    return spark.createDataFrame(
         rows,
         "column_name string, count bigint, mean double, std double, min double, "
         "q25 double, q50 double, q75 double, max double",

@@ -173,15 +173,20 @@ def suggest_relationships(
     )
 
 
-def has_duplicates(df: DataFrame, key: str) -> bool:
-    """Whether a non-null key occurs more than once."""
-    return not (
-        df.where(column(key).isNotNull())
-        .groupBy(column(key).alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where("rows > 1")
-        .isEmpty()
-    )
+def duplicated_keys(keys: list[tuple[DataFrame, str]]) -> list[int]:
+    """Indexes of the keys that hold some non-null value more than once; one job."""
+    found = None
+    for i, (df, key) in enumerate(keys):
+        repeated = (
+            df.where(column(key).isNotNull())
+            .groupBy(column(key).alias("key"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .where("rows > 1")
+            .select(F.lit(i).alias("key_id"))
+        )
+        found = repeated if found is None else found.unionAll(repeated)
+    # At most one row per key reaches the driver.
+    return [] if found is None else [row.key_id for row in found.distinct().collect()]
 
 
 def auto_join(
@@ -200,9 +205,11 @@ def auto_join(
     skewed partitions of the larger joins.
     """
     if not allow_fan_out:
-        for key in dict.fromkeys((r.parent_table, r.parent_column) for r in relationships):
-            if has_duplicates(tables[key[0]], key[1]):
-                raise FanOutError(f"'{key[0]}.{key[1]}' is not unique")
+        keys = list(dict.fromkeys((r.parent_table, r.parent_column) for r in relationships))
+        repeated = duplicated_keys([(tables[table], name) for table, name in keys])
+        if repeated:
+            listed = ", ".join(f"'{keys[i][0]}.{keys[i][1]}'" for i in repeated)
+            raise FanOutError(f"not unique: {listed}")
     joined = tables[start]
     visited = {start}
     # Name of each table's column in the joined frame.
