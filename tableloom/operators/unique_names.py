@@ -17,6 +17,9 @@ and without gathering the files of one base in one task:
   a number when the rival arrives, it wins exactly if ``b < k - g``. ``b``
   depends only on lower numbers, so repeating the test until nothing changes
   ends in the one right answer.
+* Unions are written out before a running count reads them twice. This spares
+  their joins a second run, and Spark 4.1 was seen to lose rows of a union whose
+  parts are partitioned alike when both uses share an exchange.
 * Rivals of a base are settled before the base's own generated names matter,
   so depth by depth (``x``, ``x_v1``, ``x_v1_v1``) is enough.
 """
@@ -156,7 +159,7 @@ def unique_names(
             )
         )
         before = OrderedGroups(("parent",), "position", groups.levels, block_rows).running_sum(
-            line, F.col("is_file"), "files_before"
+            cut_lineage(line), F.col("is_file"), "files_before"
         )
         counted = (
             layer.join(
@@ -189,19 +192,21 @@ def unique_names(
         "position",
         (F.col("occurrence") - 1 + F.coalesce("shift", F.lit(0))).alias("need"),
     )
-    line = needs.select(
-        "base",
-        "position",
-        "need",
-        (F.col("need") * 2).alias("slot"),
-        F.lit(0).cast("bigint").alias("won"),
-    ).unionByName(
-        gaps.select(
+    line = cut_lineage(
+        needs.select(
             "base",
-            F.lit(None).cast("bigint").alias("position"),
-            F.lit(None).cast("bigint").alias("need"),
-            (F.col("free_below") * 2 + 1).alias("slot"),
-            "won",
+            "position",
+            "need",
+            (F.col("need") * 2).alias("slot"),
+            F.lit(0).cast("bigint").alias("won"),
+        ).unionByName(
+            gaps.select(
+                "base",
+                F.lit(None).cast("bigint").alias("position"),
+                F.lit(None).cast("bigint").alias("need"),
+                (F.col("free_below") * 2 + 1).alias("slot"),
+                "won",
+            )
         )
     )
     slots = OrderedGroups.measure(line, ["base"], "slot", block_rows)

@@ -3,8 +3,8 @@ from tableloom.sources.delimited import (
     EmptyFileError,
     RaggedRowError,
     header_names,
+    line_facts,
     read_csv,
-    rows_fit_lines,
     write_csv,
 )
 from tableloom.sources.files import (
@@ -24,6 +24,7 @@ __all__ = [
     "file_inventory",
     "from_columns",
     "header_names",
+    "line_facts",
     "load_dataframe",
     "load_multiple_dataframes",
     "partition_options",
@@ -31,6 +32,5 @@ __all__ = [
     "read_excel",
     "read_jdbc",
     "read_parquet",
-    "rows_fit_lines",
     "write_csv",
 ]

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableloom.functions.columns import quoted
 from tableloom.functions.typing import apply_types, infer_schema, na_normalise
+from tableloom.session import cut_lineage
+from tableloom.sources.quoted_records import leftover, read_records
 
 _OVERFLOW = "_overflow"
 
-#: Files above this size are worth a check whether they can be split.
+#: Files of at least this size are read by more than one task even if rows span lines.
 SPLIT_BYTES = 128 * 1024 * 1024
 
 
@@ -51,25 +56,55 @@ def _options(multiline: bool) -> dict[str, object]:
     }
 
 
-def rows_fit_lines(spark: SparkSession, path: str | list[str]) -> bool:
-    """True if no quoted field spans lines, so files may be split between tasks.
+@dataclass(frozen=True)
+class LineFacts:
+    """What one parallel pass over the lines of a file tells about its records."""
+
+    #: No quoted field spans lines, so the file may be split anywhere between lines.
+    complete: bool
+    #: Some line ends with a carriage return before the line feed.
+    carriage_returns: bool
+
 
-    Every line must consist of complete fields: after removing doubled quotes
-    and then whole quoted fields, no quote is left. The check reads lines in
-    parallel. A doubtful line only costs the split, never a wrong result.
+def line_facts(spark: SparkSession, path: str | list[str]) -> LineFacts:
+    """Check whether every line consists of complete fields.
+
+    A doubtful line only costs speed, never a right result.
     """
-    without_doubled = F.replace(F.col("value"), F.lit('""'), F.lit(""))
-    leftover = F.regexp_replace(without_doubled, r'(?<=^|,)"[^"]*"(?=,|$)', "")
-    return spark.read.text(path).where(F.contains(leftover, F.lit('"'))).isEmpty()
+    value = F.col("value")
+    rest = leftover(F.regexp_replace(value, "\r$", ""))
+    seen = (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .agg(
+            F.bool_or(rest.rlike('["\r]')).alias("doubtful"),
+            F.bool_or(F.endswith(value, F.lit("\r"))).alias("returns"),
+        )
+        .first()
+    )
+    return LineFacts(not seen.doubtful, bool(seen.returns))
 
 
-def _needs_multiline(spark: SparkSession, path: str | list[str], split_bytes: int) -> bool:
-    largest = (
-        spark.read.format("binaryFile").load(path).agg(F.max("length").alias("bytes")).first().bytes
+def _largest_file(spark: SparkSession, path: str | list[str]) -> int:
+    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("bytes"))
+    return sizes.first().bytes or 0
+
+
+def _text_schema(names: list[str]) -> str:
+    return ", ".join(f"{quoted(n)} string" for n in [*names, _OVERFLOW])
+
+
+def _from_records(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame | None:
+    """Rows put together from the lines of all files, or None if quotes are misplaced."""
+    options = {k: str(v).lower() for k, v in _options(multiline=True).items()}
+    parsed = F.from_csv("record", _text_schema(names), {**options, "escape": '"'})
+    # The header is the first record of each file.
+    rows = cut_lineage(
+        read_records(spark, path).where("number > 1 OR NOT whole").select(parsed.alias("row"), "whole")
     )
-    if largest is None or largest < split_bytes:
-        return True
-    return not rows_fit_lines(spark, path)
+    if not rows.where("NOT whole").isEmpty():
+        return None
+    return rows.select("row.*")
 
 
 def scan_csv(
@@ -79,15 +114,25 @@ def scan_csv(
     split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Rows as text plus an overflow column that is filled for a too long row."""
-    if multiline is None:
-        multiline = _needs_multiline(spark, path, split_bytes)
-    options = _options(multiline)
-    head = spark.read.options(**options).csv(path, header=False).limit(1).take(1)
+    options = _options(multiline is not False)
+    head = spark.read.options(**options).csv(path, header=False).take(1)
     if not head:
         raise EmptyFileError("No columns to parse from file")
-    names = header_names(list(head[0]))
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, _OVERFLOW])
-    return spark.read.options(**options).schema(schema).csv(path, header=True)
+    cells = list(head[0])
+    if cells[-1] is not None:
+        # Stays behind if a quoted line feed in the header hides the true line end.
+        cells[-1] = cells[-1].removesuffix("\r")
+    names = header_names(cells)
+    if multiline is None:
+        facts = line_facts(spark, path)
+        multiline = not facts.complete
+        # Spark's reader would turn a quoted CR LF into LF.
+        if multiline and (facts.carriage_returns or _largest_file(spark, path) >= split_bytes):
+            rows = _from_records(spark, path, names)
+            if rows is not None:
+                return rows
+    options["multiLine"] = multiline
+    return spark.read.options(**options).schema(_text_schema(names)).csv(path, header=True)
 
 
 def read_csv(
@@ -100,8 +145,10 @@ def read_csv(
 
     Short rows are filled with nulls, long rows raise. Typing is one pass over
     the file and runs here, so a malformed file fails now and not at a later
-    action. ``multiline=None`` keeps quoted line breaks whole and lets files of
-    at least ``split_bytes`` be split when no row spans lines.
+    action. ``multiline=None`` looks at the lines first: if no row spans lines,
+    the file is split between tasks. Else a file of at least ``split_bytes``, or
+    one with carriage returns, is put together from lines. Only misplaced
+    quotes, as in ``5" pipe``, leave a large file to one task.
     """
     text = scan_csv(spark, path, multiline, split_bytes)
     cleaned = na_normalise(text, [c for c in text.columns if c != _OVERFLOW])

@@ -3,6 +3,9 @@
 import pytest
 
 import __spark_entry__ as contract
+from tableloom import operators as ops
+from tableloom.operators.relationships import Relationship
+from tableloom.session import keep_matching
 
 
 def plan_of(df):
@@ -40,3 +43,51 @@ def test_contexts_leave_the_texts_behind(spark, folder):
 def test_first_question_shuffles_once(spark, folder):
     plan = plan_of(contract.queries()["first_question"](spark, folder))
     assert plan.count("Exchange") == 1
+
+
+@pytest.fixture
+def small_thresholds(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+@pytest.fixture
+def hot_children(spark):
+    """A third of the rows refer to one parent and a tenth to none."""
+    key = "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id END"
+    return spark.range(0, 60_000, 1, 8).selectExpr("id AS child_id", f"{key} AS ref")
+
+
+def test_hot_key_is_split_in_auto_join(spark, small_thresholds, hot_children):
+    parents = spark.range(60_000).selectExpr("id AS parent_id", "concat('p', id) AS name")
+    joined = ops.auto_join(
+        {"child": hot_children, "parent": parents},
+        "child",
+        [Relationship("child", "ref", "parent", "parent_id")],
+    )
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in plan_of(joined)
+
+
+def test_hot_key_is_split_when_keys_are_too_many_to_broadcast(
+    spark, small_thresholds, hot_children
+):
+    keys = spark.range(30_000).withColumnRenamed("id", "k")
+    kept = keep_matching(hot_children, "ref", keys, "k", rows=10)
+    expected = hot_children.where("ref < 30000").count()
+    assert len(kept.collect()) == expected
+    assert "skew=true" in plan_of(kept)

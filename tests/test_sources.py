@@ -1,6 +1,7 @@
 """Reading and writing files: fidelity, errors, dispatch."""
 
 import math
+import random
 import zipfile
 
 import pandas as pd
@@ -14,15 +15,16 @@ from tableloom.sources import (
     file_inventory,
     from_columns,
     header_names,
+    line_facts,
     load_dataframe,
     load_multiple_dataframes,
     partition_options,
     read_csv,
     read_excel,
     read_parquet,
-    rows_fit_lines,
     write_csv,
 )
+from tableloom.sources.delimited import scan_csv
 
 
 def put(folder, name, text):
@@ -131,17 +133,73 @@ def test_columns_with_dots_and_backticks(spark, tmp_path):
         ('a,b\n"x\ny",1\n', False),
         ('a,b\n5" pipe,"abc\ndef"\n', False),
         ('a,b\n5" pipe,1\n', False),
+        ('a,b\r\n"x",1\r\n', True),
+        ('a,b\r\n"x\r\ny",1\r\n', False),
+        ("a,b\r1,2\r", False),
     ],
 )
-def test_rows_fit_lines(spark, tmp_path, text, fits):
-    assert rows_fit_lines(spark, put(tmp_path, "t.csv", text)) is fits
+def test_line_facts(spark, tmp_path, text, fits):
+    facts = line_facts(spark, put(tmp_path, "t.csv", text))
+    assert facts.complete is fits
+    assert facts.carriage_returns is ("\r" in text)
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, ("300", "10"), strict=True):
+        spark.conf.set(name, value)
+    yield
+    for name, value in zip(names, before, strict=True):
+        spark.conf.set(name, value)
+
+
+def random_cell(rnd):
+    kind = rnd.random()
+    if kind < 0.3:
+        return str(rnd.randint(0, 99))
+    if kind < 0.5:
+        return ""
+    parts = ["a", "b", "\n", "\r\n", '""', ",", " ", "é"]
+    return '"' + "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 15))) + '"'
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+@pytest.mark.parametrize("header", ["x,y,z", 'x,"y\ny",z'])
+def test_large_files_are_put_together_from_lines(spark, tmp_path, tiny_splits, line_end, header):
+    rnd = random.Random(len(line_end + header))
+    expected = []
+    for name in ("one.csv", "two.csv"):
+        lines = [header] + [
+            ",".join(random_cell(rnd) for _ in range(rnd.choice([2, 3, 3]))) for _ in range(80)
+        ]
+        text = "".join(r + line_end * rnd.choice([1, 1, 2]) for r in lines)
+        theirs = pd.read_csv(put(tmp_path, name, text), dtype=str, keep_default_na=False)
+        expected += [tuple(v if isinstance(v, str) else "" for v in r) for r in theirs.values]
+    split = scan_csv(spark, str(tmp_path), split_bytes=1)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+    assert all(row._overflow is None for row in split.collect())
+    got = [tuple(v or "" for v in row) for row in values(split.drop("_overflow"))]
+    assert sorted(got) == sorted(expected)
+    whole = [tuple(v or "" for v in row) for row in values(scan_csv(spark, str(tmp_path)))]
+    assert sorted(whole) == sorted((*row, "") for row in expected)
 
 
-@pytest.mark.parametrize("text", ["a,b\n1,x\n2,y\n", 'a,b\n1,"x\ny"\n2,z\n'])
-def test_large_files_are_split_only_when_it_is_safe(spark, tmp_path, text):
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a,b\n1,x\n2,y\n",
+        'a,b\n1,"x\ny"\n2,z\n',
+        'a,b\n5" pipe,1\nx,"y\nz"\n',
+        'a,b\r1,2\r3,"x\ry"\r',
+        'a,b\n"x\ny",1,2\n',
+    ],
+)
+def test_large_files_give_the_same_rows(spark, tmp_path, text):
     path = put(tmp_path, "t.csv", text)
-    whole = values(read_csv(spark, path, multiline=True))
-    assert values(read_csv(spark, path, split_bytes=1)) == whole
+    whole = values(scan_csv(spark, path))
+    assert values(scan_csv(spark, path, split_bytes=1)) == whole
 
 
 def test_csv_round_trip_keeps_awkward_text(spark):
