@@ -98,99 +98,81 @@ def _settle(rivals: DataFrame, block_rows: int) -> DataFrame:
             return current
 
 
-def unique_names(
-    files: DataFrame,
-    base: str,
-    position: str,
-    out: str = "table_name",
-    block_rows: int = BLOCK_ROWS,
+def _needed_at_arrival(
+    layer: DataFrame, occurrences: DataFrame, taken: DataFrame, groups: OrderedGroups
 ) -> DataFrame:
-    """Add ``out``, the unique name of each file.
+    """Add ``parent_needed``: files of the parent that needed a number before a rival came.
 
-    ``position`` is a unique integer giving the upload order.
+    The first file of the parent needs none, unless the parent's own name is taken.
     """
-    spark = files.sparkSession
-    arrivals = files.select(column(base).alias("base"), column(position).alias("position"))
-    groups = OrderedGroups.measure(arrivals, ["base"], "position", block_rows)
-    bases = arrivals.groupBy("base").agg(
-        F.min("position").alias("arrival"), F.count(F.lit(1)).alias("files")
+    files = keep_matching(occurrences, "base", layer, "parent").select(
+        F.col("base").alias("parent"),
+        "position",
+        F.lit(1).cast("bigint").alias("is_file"),
+        F.lit(None).cast("string").alias("base"),
     )
-    rivals = None
-    if not _candidates(bases).isEmpty():
-        # Written out, so that the join with a hot parent is one adaptive
-        # execution can split.
-        rivals = cut_lineage(_rivals(cut_lineage(bases)))
-    if rivals is None or rivals.isEmpty():
-        named = OrderedGroups((base,), position, groups.levels, block_rows).positions(
-            files, "_number"
-        )
-        return (
-            named.withColumn("_number", F.col("_number") - 1)
-            .select(*[column(c) for c in files.columns], _numbered(column(base), "_number", out))
-        )
-
-    occurrences = cut_lineage(groups.positions(arrivals, "occurrence"))
-    # Bases whose own name was handed out before their first file arrived.
-    taken = spark.createDataFrame([], "base string")
-    settled = None
-    pending = rivals.withColumn(
-        "depth", F.regexp_count("parent", F.lit(r"_v[1-9][0-9]*(?=(_v[1-9][0-9]*)*$)"))
+    arrivals = layer.select(
+        "parent",
+        F.col("arrival").alias("position"),
+        F.lit(0).cast("bigint").alias("is_file"),
+        "base",
     )
+    line = cut_lineage(files.unionByName(arrivals))
+    by_parent = OrderedGroups(("parent",), "position", groups.levels, groups.block_rows)
+    before = (
+        by_parent.running_sum(line, F.col("is_file"), "files_before")
+        .where(F.col("is_file") == 0)
+        .select("base", "files_before")
+    )
+    shift = taken.select(F.col("base").alias("parent"), F.lit(1).alias("shift"))
+    needed = F.col("files_before") + F.coalesce("shift", F.lit(0)) - 1
+    return (
+        layer.join(before, "base")
+        .join(shift, "parent", "left")
+        .select("parent", "k", "base", F.greatest(F.lit(0), needed).alias("parent_needed"))
+    )
+
+
+def _settle_all(
+    rivals: DataFrame, occurrences: DataFrame, groups: OrderedGroups
+) -> tuple[DataFrame, DataFrame]:
+    """Settle the rivals depth by depth.
+
+    Returns the numbers won, as (base, k), and the bases whose own name was
+    handed out before their first file arrived.
+    """
+    suffixes = F.lit(r"_v[1-9][0-9]*(?=(_v[1-9][0-9]*)*$)")
+    pending = rivals.withColumn("depth", F.regexp_count("parent", suffixes))
+    # As many rows as the longest chain of suffixes in a file name.
     depths = sorted(row.depth for row in pending.select("depth").distinct().collect())
+    taken = rivals.sparkSession.createDataFrame([], "base string")
+    won = rivals.sparkSession.createDataFrame([], "base string, k bigint")
     for depth in depths:
         layer = pending.where(F.col("depth") == depth)
-        shift = taken.select(F.col("base").alias("parent"), F.lit(1).alias("parent_shift"))
-        # Files of the parent that arrived before each rival: a running count over both.
-        line = (
-            keep_matching(occurrences, "base", layer, "parent")
-            .select(
-                F.col("base").alias("parent"),
-                "position",
-                F.lit(1).cast("bigint").alias("is_file"),
-                F.lit(None).cast("string").alias("base"),
-            )
-            .unionByName(
-                layer.select(
-                    "parent",
-                    F.col("arrival").alias("position"),
-                    F.lit(0).cast("bigint").alias("is_file"),
-                    "base",
-                )
-            )
-        )
-        before = OrderedGroups(("parent",), "position", groups.levels, block_rows).running_sum(
-            cut_lineage(line), F.col("is_file"), "files_before"
-        )
-        counted = (
-            layer.join(
-                before.where(F.col("is_file") == 0).select("base", "files_before"), "base"
-            )
-            .join(shift, "parent", "left")
-            .withColumn(
-                "parent_needed",
-                F.greatest(
-                    F.lit(0),
-                    F.col("files_before") + F.coalesce("parent_shift", F.lit(0)) - 1,
-                ),
-            )
+        counted = _needed_at_arrival(layer, occurrences, taken, groups)
+        settled = _settle(counted, groups.block_rows)
+        taken = taken.unionByName(settled.where(~F.col("wins")).select("base"))
+        won = won.unionByName(
+            settled.where(F.col("wins")).select(F.col("parent").alias("base"), "k")
         )
-        result = _settle(counted.select("parent", "k", "base", "parent_needed"), block_rows)
-        settled = result if settled is None else settled.unionByName(result)
-        taken = taken.unionByName(result.where(~F.col("wins")).select("base"))
-
-    # Number of the n-th file: n plus the numbers won by rivals below it. The c-th
-    # free number lies below a won number k with rank j exactly if c <= k - j.
-    won = settled.where(F.col("wins")).select("parent", "k")
-    ranks = OrderedGroups.measure(won, ["parent"], "k", block_rows).positions(won, "rank")
-    gaps = ranks.groupBy(
-        F.col("parent").alias("base"), (F.col("k") - F.col("rank")).alias("free_below")
-    ).agg(F.count(F.lit(1)).alias("won"))
-    needs = occurrences.join(
-        taken.withColumn("shift", F.lit(1)), "base", "left"
-    ).select(
-        "base",
-        "position",
-        (F.col("occurrence") - 1 + F.coalesce("shift", F.lit(0))).alias("need"),
+    return won, taken
+
+
+def _numbers(
+    occurrences: DataFrame, won: DataFrame, taken: DataFrame, block_rows: int
+) -> DataFrame:
+    """(base, position, number) of every file; number 0 is the base itself.
+
+    The n-th file in need of a number gets n plus the numbers won by rivals below
+    it. The c-th free number lies above a won number k of rank j exactly if c > k - j.
+    """
+    ranks = OrderedGroups.measure(won, ["base"], "k", block_rows).positions(won, "rank")
+    gaps = ranks.groupBy("base", (F.col("k") - F.col("rank")).alias("free_below")).agg(
+        F.count(F.lit(1)).alias("won")
+    )
+    need = F.col("occurrence") - 1 + F.coalesce("shift", F.lit(0))
+    needs = occurrences.join(taken.withColumn("shift", F.lit(1)), "base", "left").select(
+        "base", "position", need.alias("need")
     )
     line = cut_lineage(
         needs.select(
@@ -210,12 +192,46 @@ def unique_names(
         )
     )
     slots = OrderedGroups.measure(line, ["base"], "slot", block_rows)
-    numbered = (
+    number = F.when(F.col("need") == 0, 0).otherwise(F.col("need") + F.col("skipped"))
+    return (
         slots.running_sum(line, F.col("won"), "skipped")
         .where(F.col("position").isNotNull())
-        .withColumn(
-            "number", F.when(F.col("need") == 0, 0).otherwise(F.col("need") + F.col("skipped"))
+        .select("base", "position", number.alias("number"))
+    )
+
+
+def unique_names(
+    files: DataFrame,
+    base: str,
+    position: str,
+    out: str = "table_name",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Add ``out``, the unique name of each file.
+
+    ``position`` is a unique integer giving the upload order.
+    """
+    arrivals = files.select(column(base).alias("base"), column(position).alias("position"))
+    groups = OrderedGroups.measure(arrivals, ["base"], "position", block_rows)
+    bases = arrivals.groupBy("base").agg(
+        F.min("position").alias("arrival"), F.count(F.lit(1)).alias("files")
+    )
+    rivals = None
+    if not _candidates(bases).isEmpty():
+        # Written out, so that adaptive execution can split the join at a hot parent.
+        rivals = cut_lineage(_rivals(cut_lineage(bases)))
+    if rivals is None or rivals.isEmpty():
+        keyed = files.withColumns({"_base": column(base), "_position": column(position)})
+        by_base = OrderedGroups(("_base",), "_position", groups.levels, block_rows)
+        return (
+            by_base.positions(keyed, "_number")
+            .withColumn("_number", F.col("_number") - 1)
+            .withColumn(out, _numbered(F.col("_base"), "_number", out))
+            .drop("_base", "_position", "_number")
         )
-        .select(F.col("position").alias("_position"), _numbered(F.col("base"), "number", out))
+    occurrences = cut_lineage(groups.positions(arrivals, "occurrence"))
+    won, taken = _settle_all(rivals, occurrences, groups)
+    numbered = _numbers(occurrences, won, taken, block_rows).select(
+        F.col("position").alias("_position"), _numbered(F.col("base"), "number", out)
     )
     return files.join(numbered, column(position) == F.col("_position")).drop("_position")

@@ -151,7 +151,9 @@ _TABLE_LIST = ", ".join(f"'{name}'" for name in DESCRIPTIONS)
 
 ORACLES: dict[str, str] = {
     "parquet_scan": "SELECT * FROM supplier",
-    "csv_scan": f"SELECT doc_id, {_na('text')}, {_na('lang')}, {_na('source')}, n_chars FROM documents",
+    "csv_scan": (
+        f"SELECT doc_id, {_na('text')}, {_na('lang')}, {_na('source')}, n_chars FROM documents"
+    ),
     "csv_roundtrip": (
         "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
         "c_mktsegment FROM customer"

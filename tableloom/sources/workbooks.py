@@ -50,7 +50,8 @@ def _first_sheet(book: zipfile.ZipFile) -> tuple[str, bool]:
     from_1904 = settings is not None and settings.get("date1904") in ("1", "true")
     for relation in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels")):
         if relation.get("Id") == link:
-            return posixpath.normpath(posixpath.join("/xl", relation.get("Target"))).lstrip("/"), from_1904
+            target = posixpath.normpath(posixpath.join("/xl", relation.get("Target")))
+            return target.lstrip("/"), from_1904
     raise ValueError("workbook has no first sheet")
 
 
