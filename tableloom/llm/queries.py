@@ -8,12 +8,14 @@ from functools import lru_cache
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tableloom.llm.byte_cnn import classify, fit, held_out
 from tableloom.llm.chunks import chunk_tokens, containment, rendered
 from tableloom.llm.fertility import fertility
 from tableloom.llm.neighbours import map_with_next
 from tableloom.llm.tables import load
 from tableloom.llm.token_files import read_checksums, write_tokens
 from tableloom.llm.url_rules import HostRule, filter_urls
+from tableloom.llm.weighted_minhash import class_rows, near_duplicates
 from tableloom.session import scratch_path
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -33,6 +35,17 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return fertility(load(spark, folder, "documents"), PIECES)
 
 
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    network = fit(docs, load(spark, folder, "labels"))
+    scored = classify(docs, network, "doc_id")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return class_rows(near_duplicates(load(spark, folder, "documents")))
+
+
 def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(load(spark, folder, "pages"), "page_id", "url", HOST_RULES)
 
@@ -80,8 +93,10 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": quality_rules,
+    "op3_quality_classifier": quality_classifier,
     "op6_url_filter": url_filter,
     "op7_fingerprints": fingerprints,
+    "op8_near_dedup": near_dedup,
     "op10_token_files": token_files,
 }
 
