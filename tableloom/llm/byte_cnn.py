@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.llm.tables import texts
+from tableloom.llm.tables import keep_rows, texts
 
 #: Bytes of a chunk, and from the start of a chunk to the next one's.
 CHUNK, CHUNK_STEP = 1024, 896
@@ -231,30 +231,34 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
     return train(data, [row["quality"] for row in sample])
 
 
-def classify(docs: DataFrame, network: Network, *carried: str) -> DataFrame:
-    """``doc_id``, ``score`` and ``predicted`` of every whole text, and the carried columns.
+def text_scores(network: Network, batch: pa.Array) -> np.ndarray:
+    """Null and empty texts are one chunk of padding and get its score."""
+    data = [text.encode("utf-8", "replace") if text else b"" for text in batch.to_pylist()]
+    return scores(network, data)
 
-    Null and empty texts are one chunk of padding and get its score. Only the
-    bytes of the text enter a score; rows are neither merged nor shuffled.
+
+def classify(docs: DataFrame, network: Network) -> DataFrame:
+    """``doc_id``, ``score`` and ``predicted`` of every whole text.
+
+    Only the bytes of the text enter a score, other columns are not read. Rows
+    are neither merged nor shuffled.
     """
-    names = list(carried) or ["doc_id"]
-    picked = texts(docs, *dict.fromkeys([*names, "text"]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [
-                text.encode("utf-8", "replace") if text else b""
-                for text in batch.column("text").to_pylist()
-            ]
-            made = scores(network, data)
-            columns = {name: batch.column(name) for name in names}
+            made = text_scores(network, batch.column("text"))
             yield pa.RecordBatch.from_pydict(
                 {
-                    **columns,
-                    "score": pa.array(made, pa.float64()),
+                    "doc_id": batch.column("doc_id"),
+                    "score": made,
                     "predicted": pa.array((made >= 0.5).astype(np.int32)),
                 }
             )
 
-    kept = ", ".join(f"`{n}` {picked.schema[n].dataType.simpleString()}" for n in names)
-    return picked.mapInArrow(score, f"{kept}, score double, predicted int")
+    rows = texts(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return rows.mapInArrow(score, "doc_id long, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, network: Network) -> DataFrame:
+    """Whole rows whose text is predicted to be good."""
+    return keep_rows(docs, lambda batch: text_scores(network, batch) >= 0.5)

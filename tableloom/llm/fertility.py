@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.llm.tables import texts
+from tableloom.llm.tables import keep_rows, texts
 from tableloom.llm.words import Words, gather, words_of
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -202,3 +202,11 @@ def fertility(docs: DataFrame, model_path: str, bands: dict[str, Band] | None =
 
     rows = texts(docs, "doc_id", "text")
     return rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(judged, SCHEMA)
+
+
+def keep_by_rules(
+    docs: DataFrame, model_path: str, bands: dict[str, Band] | None = None
+) -> DataFrame:
+    """Whole rows that the rules keep."""
+    limits = bands or BANDS
+    return keep_rows(docs, lambda batch: judge(batch, model_path, limits)["kept"])

@@ -6,14 +6,20 @@ import hashlib
 from functools import lru_cache
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tableloom.functions.columns import column
 from tableloom.llm.byte_cnn import classify, fit, held_out
 from tableloom.llm.chunks import chunk_tokens, containment, rendered
 from tableloom.llm.fertility import fertility
+from tableloom.llm.licenses import scan_licenses
+from tableloom.llm.mixing import mix, source_table
 from tableloom.llm.neighbours import map_with_next
-from tableloom.llm.tables import load
+from tableloom.llm.packing import pack
+from tableloom.llm.tables import load, texts, word_count
 from tableloom.llm.token_files import read_checksums, write_tokens
+from tableloom.llm.transcripts import parse_transcripts
 from tableloom.llm.url_rules import HostRule, filter_urls
 from tableloom.llm.weighted_minhash import class_rows, near_duplicates
 from tableloom.session import scratch_path
@@ -31,6 +37,10 @@ HOST_RULES = (
 )
 
 
+def chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return parse_transcripts(load(spark, folder, "conversations"))
+
+
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return fertility(load(spark, folder, "documents"), PIECES)
 
@@ -38,10 +48,61 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     network = fit(docs, load(spark, folder, "labels"))
-    scored = classify(docs, network, "doc_id")
+    scored = classify(docs, network)
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def mixing_rows(docs: DataFrame, carried: Column) -> DataFrame:
+    """What mixing reads of documents, next to a carried column."""
+    text, source = column("text"), column("source")
+    return docs.select(
+        carried,
+        word_count(text).alias("_size"),
+        F.array(source).alias("_sources"),
+        F.xxhash64(column("doc_id"), F.coalesce(text, F.lit(""))).alias("_id"),
+    )
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """Rows of documents as often as the mixture takes them."""
+    taken, _ = mix(mixing_rows(docs, F.struct(*docs.columns).alias("_doc")))
+    often = taken.where("copies > 0").select(
+        "_doc", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))
+    )
+    return often.select("_doc.*")
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """Documents packed by words; equal texts are a cluster."""
+    rows = texts(docs, "doc_id", "text", "source")
+    return pack(
+        rows.select(
+            "doc_id",
+            word_count(F.col("text")).alias("_size"),
+            F.col("source").alias("_source"),
+            F.md5(F.coalesce("text", F.lit(""))).alias("_cluster"),
+        )
+    )
+
+
+def mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    taken, plan = mix(mixing_rows(docs, column("doc_id").alias("doc_id")))
+    # one row per source, bounded by the patterns that a plan allows
+    sources = F.broadcast(source_table(spark, plan))
+    return taken.join(sources, "_pattern").select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("_size")).alias("taken"),
+    )
+
+
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_documents(load(spark, folder, "documents"))
+
+
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return class_rows(near_duplicates(load(spark, folder, "documents")))
 
@@ -85,6 +146,10 @@ def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return map_with_next(load(spark, folder, "documents"), compare_with_edit, names, schema)
 
 
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(load(spark, folder, "documents"))
+
+
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch_path(spark, "tokens")
     write_tokens(load(spark, folder, "documents"), WORD_PIECES, END_ID, files)
@@ -92,11 +157,15 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": chat_format,
     "op2_quality_rules": quality_rules,
     "op3_quality_classifier": quality_classifier,
+    "op4_mixing": mixing,
+    "op5_packing": packing,
     "op6_url_filter": url_filter,
     "op7_fingerprints": fingerprints,
     "op8_near_dedup": near_dedup,
+    "op9_license_scan": license_scan,
     "op10_token_files": token_files,
 }
 

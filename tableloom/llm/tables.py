@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,12 @@ def with_range(df: DataFrame, key: str, ranges: int, name: str = "_range") -> Da
     return made.withColumn(name, F.col("_bucket").cast("int")).drop("_number", "_bucket")
 
 
-def rows_of(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-    for frame in frames:
-        yield from frame.itertuples(index=False, name=None)
+def keep_rows(docs: DataFrame, verdict: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """Whole rows of ``docs`` whose text gets True from ``verdict``, which sees a batch of texts."""
+    place = docs.columns.index("text")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(verdict(batch.column(place)), pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

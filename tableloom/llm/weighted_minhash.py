@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableloom.functions.columns import column
 from tableloom.llm.components import components
 from tableloom.llm.tables import texts
 from tableloom.llm.words import words_of
@@ -376,9 +377,13 @@ def class_rows(found: Classes) -> DataFrame:
 def one_of_each(docs: DataFrame, found: Classes) -> DataFrame:
     """One whole row of each class, that of its ``class_id``; columns as in ``docs``."""
     kept = found.keys.where("key = first_key").select(
-        F.col("key").alias("_kept"), F.col("class_id").alias("_id")
+        F.col("key").alias("_kept"), F.col("class_id").alias("_class")
     )
-    text = F.md5(F.coalesce("text", F.lit("")))
-    single = docs.withColumn("_key", text).dropDuplicates(["_key", "doc_id"])
-    same = (F.col("_key") == F.col("_kept")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return single.join(kept, same, "left_semi").select(*docs.columns)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        column("doc_id").cast("long").alias("_id"),
+        F.md5(F.coalesce(column("text"), F.lit(""))).alias("_key"),
+    )
+    same = (F.col("_key") == F.col("_kept")) & F.col("_id").eqNullSafe(F.col("_class"))
+    single = rows.dropDuplicates(["_key", "_id"])
+    return single.join(kept, same, "left_semi").select("_row.*")
