@@ -25,6 +25,8 @@ TOTAL, REPEATS = 1.5, 2
 #: More membership patterns than this are refused with an error.
 MOST_PATTERNS = 100_000
 SEED = 17
+#: Rows out of the order that may fill what the last whole row in the order leaves.
+FILLING_ROWS = 3
 #: Bits of a digit of the seeded order.
 DIGIT_BITS = 10
 
@@ -131,7 +133,7 @@ def chosen(rows: DataFrame, plan: Plan) -> DataFrame:
 
     Rows come in the order of a seeded hash ``_u``. The last one that fits is found
     digit by digit from sums, so a pattern is never sorted in one task. What is
-    missing then is filled with the one row left whose size comes nearest. Equal
+    missing then is filled with the rows left whose sizes come nearest. Equal
     rows have equal places; if the share ends among them, each is taken with the
     probability that fits, by its row number.
     """
@@ -164,18 +166,33 @@ def chosen(rows: DataFrame, plan: Plan) -> DataFrame:
         .otherwise(among_equals)
     )
     marked = rows.join(F.broadcast(known), "_pattern").withColumn("more", more)
-    off = F.abs(F.col("_size") - F.col("rest"))
-    filling = cut_lineage(
-        marked.where(~F.col("more") & (F.col("rows") == 1) & (off < F.col("rest")))
+    # size still missing per pattern; None where the share ended among equal rows
+    gap = known.select("_pattern", F.when(F.col("rows") == 1, F.col("rest")).alias("gap"))
+    filling = spark.createDataFrame([], "filling long")
+    for _ in range(FILLING_ROWS):
+        gap, met = filled(marked.where(~F.col("more")), gap, filling)
+        filling = filling.union(met)
+    taken = F.col("more") | F.col("filling").isNotNull()
+    copies = F.when(F.col("_size") > 0, F.col("full") + taken.cast("long")).otherwise(F.lit(0))
+    return marked.join(
+        F.broadcast(filling), F.col("_row") == F.col("filling"), "left"
+    ).withColumn("copies", copies.cast("long"))
+
+
+def filled(left: DataFrame, gap: DataFrame, used: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The gaps after one more row for each pattern, and those rows: the nearest in size."""
+    off = F.abs(F.col("_size") - F.col("gap"))
+    met = cut_lineage(
+        left.join(F.broadcast(gap), "_pattern")
+        .join(F.broadcast(used), F.col("_row") == F.col("filling"), "left_anti")
+        .where(off < F.col("gap"))
         .groupBy("_pattern")
-        .agg(F.min(F.struct(off, "_u", "_row")).alias("met"))
-        .select("_pattern", F.col("met._row").alias("filling"))
+        .agg(F.min(F.struct(off, "_u", "_row", "_size")).alias("met"))
     )
-    taken = F.col("more") | F.coalesce(F.col("filling") == F.col("_row"), F.lit(False))
-    copies = F.when(F.col("_size") > 0, F.col("full") + taken.cast("long")).otherwise(F.lit(0))
-    return marked.join(F.broadcast(filling), "_pattern", "left").withColumn(
-        "copies", copies.cast("long")
+    after = gap.join(F.broadcast(met), "_pattern").select(
+        "_pattern", (F.col("gap") - F.col("met._size")).alias("gap")
     )
+    return cut_lineage(after), met.select(F.col("met._row").alias("filling"))
 
 
 def mix(sized: DataFrame) -> tuple[DataFrame, Plan]:
