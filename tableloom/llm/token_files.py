@@ -26,8 +26,10 @@ from tableloom.llm.words import gather, words_of
 
 #: A block ends with the document that brings it to so many ids.
 BLOCK_IDS = 8_192
+#: Texts encoded at once; with the bound below it limits what a worker holds.
+TEXTS_AT_ONCE = 3_000
 #: Beyond so many remembered parts a worker starts anew.
-REMEMBERED_PARTS = 1_500_000
+REMEMBERED_PARTS = 400_000
 #: Words of these characters alone are cut into the parts below before encoding.
 PLAIN_WORD = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 #: Fixed value: the vocabulary's own cut, for lower-cased words of those characters.
@@ -131,14 +133,16 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(path, end_id)
         for batch in batches:
-            rows = [ids.tobytes() for ids in model.encode(batch.column("text"))]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "range": batch.column("range"),
-                    "ids": pa.array(rows, pa.binary()),
-                }
-            )
+            for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(first, TEXTS_AT_ONCE)
+                rows = [ids.tobytes() for ids in model.encode(part.column("text"))]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "range": part.column("range"),
+                        "ids": pa.array(rows, pa.binary()),
+                    }
+                )
 
     return ranged.mapInArrow(encode, "doc_id long, range int, ids binary")
 
