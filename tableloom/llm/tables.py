@@ -50,7 +50,7 @@ def with_range(df: DataFrame, key: str, ranges: int, name: str = "_range") -> Da
     found = df.select(F.col(key).cast("double").alias("v")).approxQuantile(
         "v", steps, 0.2 / max(ranges, 1)
     )
-    borders = sorted(set(found))
+    borders = sorted({*found, *([] if found else [0.0])})
     splits = [float("-inf"), *borders, float("inf")]
     made = Bucketizer(splits=splits, inputCol="_number", outputCol="_bucket").transform(
         df.withColumn("_number", number)
