@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import chain, count
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +31,16 @@ def view_name(name: Column) -> Column:
     """Name Spark accepts for a temporary view, from any table name."""
     safe = F.regexp_replace(F.lower(name), "[^a-z0-9_]", "_")
     return F.when(safe.rlike("^[0-9]"), F.concat(F.lit("t_"), safe)).otherwise(safe)
+
+
+def free_name(
+    base: str, used: set[str], mark: str = "_v", same: Callable[[str], str] = str
+) -> str:
+    """``base``, or its first numbered spelling whose ``same`` form is not in ``used`` yet.
+
+    The form of the name is added to ``used``.
+    """
+    spellings = chain([base], (f"{base}{mark}{number}" for number in count(1)))
+    found = next(name for name in spellings if same(name) not in used)
+    used.add(same(found))
+    return found

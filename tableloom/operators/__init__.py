@@ -1,6 +1,5 @@
 from tableloom.operators.answers import (
     Answer,
-    TooManyRowsError,
     answer_auto,
     answer_string,
     answer_table,
@@ -53,7 +52,6 @@ __all__ = [
     "FanOutError",
     "OrderedGroups",
     "Relationship",
-    "TooManyRowsError",
     "answer_auto",
     "answer_string",
     "answer_table",

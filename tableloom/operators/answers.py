@@ -9,34 +9,23 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.columns import column
 
-#: More rows than this are a table, not a sentence.
-TEXT_ROWS = 1_000
 DATE_UNITS = ("day", "week", "month", "quarter", "year")
 
 
-class TooManyRowsError(ValueError):
-    """The answer is too long to be a text."""
-
-
 @dataclass(frozen=True)
 class Answer:
     kind: str
     value: DataFrame
 
 
-def answer_string(
-    df: DataFrame, order_by: list[str], separator: str = ", ", max_rows: int = TEXT_ROWS
-) -> DataFrame:
-    """One text: a line per row, values joined by ``separator``; nulls are left out.
+def answer_string(df: DataFrame, order_by: list[str], separator: str = ", ") -> DataFrame:
+    """A text of any length: the order columns and a ``line`` for every row.
 
-    A result of more than ``max_rows`` rows is refused, never shortened.
+    A line joins the values by ``separator`` and leaves nulls out. The text is the
+    lines in the order of the other columns; it is never gathered in one place.
     """
-    if len(df.limit(max_rows + 1).select(F.lit(1)).take(max_rows + 1)) > max_rows:
-        raise TooManyRowsError(f"more than {max_rows} rows")
     line = F.concat_ws(separator, *[column(c).cast("string") for c in df.columns])
-    keyed = F.struct(*[column(c) for c in order_by], line.alias("_line"))
-    lines = F.transform(F.array_sort(F.collect_list(keyed)), lambda row: row["_line"])
-    return df.agg(F.array_join(lines, "\n").alias("answer"))
+    return df.select(*[column(c) for c in order_by if c != "line"], line.alias("line"))
 
 
 def answer_table(df: DataFrame) -> DataFrame:
@@ -47,11 +36,15 @@ def answer_table(df: DataFrame) -> DataFrame:
 def answer_auto(df: DataFrame, order_by: list[str], output_type: str | None = None) -> Answer:
     """Answer of the requested kind; without one, a single value becomes a text.
 
-    An unknown kind gives a text. The probe reads two rows at most.
+    An unknown kind gives a text of lines. A single value is read once, as the one
+    ``answer``; two rows at most reach the driver.
     """
     if output_type is None:
-        single = len(df.columns) == 1 and len(df.limit(2).take(2)) == 1
-        output_type = "string" if single else "dataframe"
+        text = column(df.columns[0]).cast("string").alias("answer")
+        seen = df.select(text).take(2) if len(df.columns) == 1 else []
+        if len(seen) == 1:
+            return Answer("string", df.sparkSession.createDataFrame(seen, "answer string"))
+        output_type = "dataframe"
     if output_type in ("dataframe", "chart"):
         return Answer(output_type, answer_table(df))
     return Answer("string", answer_string(df, order_by))
@@ -71,9 +64,10 @@ def chart_histogram(df: DataFrame, name: str, bins: int) -> DataFrame:
     """Rows per equal-width bin between the smallest and the largest value.
 
     The largest value belongs to the last bin. Empty bins are listed with 0.
+    Nulls, NaN and infinite values belong to no bin.
     """
     values = df.select(column(name).cast("double").alias("x")).where(
-        F.col("x").isNotNull() & ~F.isnan("x")
+        F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < float("inf"))
     )
     low, high = values.agg(F.min("x"), F.max("x")).first()
     spark = df.sparkSession

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.operators.unique_names import assign_name
+from tableloom.functions.names import free_name
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,8 @@ class Catalog:
 
     def add(self, name: str, df: DataFrame, description: str = "", source: str = "") -> str:
         """Register a table and return the unique name it got."""
-        unique = assign_name(_plain(name), self._names)
-        view = assign_name(safe_view_name(unique), self._views)
+        unique = free_name(_plain(name), self._names)
+        view = free_name(safe_view_name(unique), self._views)
         df.createOrReplaceTempView(view)
         self._tables[unique] = Table(unique, df, view, description, source)
         return unique

@@ -37,10 +37,12 @@ def is_failed(text: Column) -> Column:
 
 
 def append_messages(log_path: str, messages: DataFrame) -> None:
-    """Append messages to a log folder; each carries its own turn."""
-    messages.select("conv_id", "turn", "role", "type", "content").write.mode("append").parquet(
-        log_path
-    )
+    """Append messages to a log folder; each carries its own turn.
+
+    The log holds ``content`` as ``text``, the form that all readers take.
+    """
+    text = F.col("content" if "content" in messages.columns else "text").alias("text")
+    messages.select("conv_id", "turn", "role", "type", text).write.mode("append").parquet(log_path)
 
 
 def next_turns(log: DataFrame) -> DataFrame:
@@ -265,12 +267,9 @@ def tables_prompt(log: DataFrame, catalog: Catalog) -> DataFrame:
         "conv_id",
         F.lit("system").alias("role"),
         F.concat(
-            F.lit(f"You have access to {len(catalog)} tables: "),
+            F.lit(f"Tables at hand ({len(catalog)}): "),
             F.array_join(listed, ", "),
-            F.lit(
-                ". When answering questions, use all relevant tables and mention "
-                "which tables you're using in your response."
-            ),
+            F.lit(". Draw on every table that matters and name those you drew on."),
         ).alias("text"),
     )
 
@@ -289,19 +288,16 @@ def welcome_message(catalog: Catalog, log: DataFrame | None = None) -> DataFrame
         _listed(overview, line).alias("lines"),
     ).select(
         F.concat(
-            F.lit("I've analyzed your data from "),
+            F.lit("Tables loaded: "),
             F.col("n_tables"),
-            F.lit(" tables: "),
+            F.lit(". Their names: "),
             F.array_join("names", ", "),
             F.lit("."),
             F.when(
                 F.col("n_tables") > 1,
                 F.concat(
-                    F.lit(
-                        " You can ask questions that span multiple tables - "
-                        "I'll automatically join related data when needed."
-                    ),
-                    F.lit("\n\nData overview:"),
+                    F.lit(" A question may combine them; related rows are joined for you."),
+                    F.lit("\n\nSizes:"),
                     F.array_join("lines", ""),
                 ),
             ).otherwise(F.lit("")),

@@ -136,23 +136,18 @@ class OrderedGroups:
 
         ``columns`` maps a name to a function from the ordered window to a
         column. In the blocked plan the rows next to a block edge are sent to
-        the neighbouring block as well, and these copies are dropped afterwards.
+        the blocks they reach as well, and these copies are dropped afterwards.
         """
         if self.bounded:
             window = Window.partitionBy(*self.keys).orderBy(quoted(self.order))
             return df.withColumns({name: make(window) for name, make in columns.items()})
         size = self.block_rows
-        if max(before, after) > size:
-            raise ValueError("neighbours further away than one block")
         placed = self.positions(df, "_position").withColumn("_position", F.col("_position") - 1)
         own = F.expr(f"_position div {size}L")
-        inner = F.expr(f"_position % {size}L")
-        homes = F.array_compact(
-            F.array(
-                own,
-                F.when(inner >= size - before, own + 1),
-                F.when((inner < after) & (own > 0), own - 1),
-            )
+        # every block with a row that may look at this one
+        homes = F.expr(
+            f"sequence(greatest(_position - {after}L, 0L) div {size}L, "
+            f"(_position + {before}L) div {size}L)"
         )
         copies = placed.withColumn("_home", F.explode(homes))
         window = Window.partitionBy(*self.keys, "_home").orderBy("_position")

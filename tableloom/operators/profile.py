@@ -155,7 +155,12 @@ def _order_statistics(
     return {(t.name, t.rank): t.value for t in targets}
 
 
-def _large_quartiles(
+def _between(low: float, high: float, share: float) -> float:
+    """Linear interpolation that leaves equal and infinite neighbours as they are."""
+    return low if low == high or share == 0 else low + (high - low) * share
+
+
+def _quartiles(
     df: DataFrame, names: list[str], basics: dict, exact_values: int
 ) -> dict[str, list[float]]:
     spots = {n: [q * (basics[n]["count"] - 1) for q in _QUARTILES] for n in names}
@@ -171,8 +176,7 @@ def _large_quartiles(
     for n in names:
         last = basics[n]["count"] - 1
         result[n] = [
-            at[n, int(s)] + (at[n, min(int(s) + 1, last)] - at[n, int(s)]) * (s - int(s))
-            for s in spots[n]
+            _between(at[n, int(s)], at[n, min(int(s) + 1, last)], s - int(s)) for s in spots[n]
         ]
     return result
 
@@ -182,9 +186,9 @@ def table_stats(
 ) -> DataFrame:
     """count, mean, std, min, quartiles and max of numeric columns.
 
-    Quartiles are exact and interpolate linearly. Small columns use one
-    ``percentile`` aggregate. Larger ones are narrowed to a counted value range
-    first, because ``percentile`` would gather all distinct values in one task.
+    Quartiles are exact and interpolate linearly. Each is narrowed to a counted
+    value range first, because ``percentile`` would gather all distinct values
+    in one task; at most ``exact_values`` values are sorted at once.
     """
     names = columns if columns is not None else _numeric_columns(df)
     spark = df.sparkSession
@@ -205,13 +209,9 @@ def table_stats(
         }
         basics = _one_pass(df, wanted)
     quartiles: dict[str, list[float | None]] = {n: [None] * len(_QUARTILES) for n in names}
-    small = [n for n in names if 0 < basics[n]["count"] <= exact_values]
-    large = [n for n in names if basics[n]["count"] > exact_values]
-    if small:
-        exact = {n: F.percentile(column(n), list(_QUARTILES)) for n in small}
-        quartiles.update(_one_pass(df, exact))
-    if large:
-        quartiles.update(_large_quartiles(df, large, basics, exact_values))
+    filled = [n for n in names if basics[n]["count"]]
+    if filled:
+        quartiles.update(_quartiles(df, filled, basics, exact_values))
     rows = [
         (
             n,

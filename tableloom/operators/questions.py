@@ -24,16 +24,21 @@ def spend_per_customer(
     order_key: str,
     amount: str,
     describe: list[str],
+    scale: int | None = None,
 ) -> DataFrame:
     """Total amount of each customer that placed an order, with describing columns.
 
+    With ``scale`` amounts are summed exactly to that many decimals.
+
     Orders are summed per customer before the join: the join sees one row per
     customer, however many orders one of them placed.
     """
+    exact = f"decimal(38,{scale})"
+    summed = column(amount) if scale is None else column(amount).cast(exact)
     totals = (
         orders.where(column(order_key).isNotNull())
         .groupBy(column(order_key).alias("_key"))
-        .agg(F.sum(column(amount).cast("decimal(18,2)")).alias("_total"))
+        .agg(F.sum(summed).alias("_total"))
     )
     return (
         customers.join(totals, column(customer_key) == F.col("_key"))

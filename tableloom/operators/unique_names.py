@@ -36,16 +36,6 @@ from tableloom.session import cut_lineage, keep_matching
 _GENERATED = r"(?s)^(.*)_v([1-9][0-9]*)$"
 
 
-def assign_name(base: str, used: set[str]) -> str:
-    """Name of one more table next to ``used``; adds it to ``used``."""
-    name, number = base, 0
-    while name in used:
-        number += 1
-        name = f"{base}_v{number}"
-    used.add(name)
-    return name
-
-
 def _numbered(base: Column, number: str, out: str) -> Column:
     return (
         F.when(F.col(number) == 0, base)

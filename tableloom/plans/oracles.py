@@ -124,8 +124,8 @@ def _stats(column: str) -> str:
     return (
         f"SELECT '{column}' AS column_name, count({column}) AS count, "
         f"round({_money(column)} / count({column}), 6) AS mean, "
-        f"round(stddev_samp({column}), 6) AS std, min({column}) AS min, {quartiles}, "
-        f"max({column}) AS max FROM lineitem"
+        f"round(stddev_samp({column}), 6) AS std, CAST(min({column}) AS DOUBLE) AS min, {quartiles}, "
+        f"CAST(max({column}) AS DOUBLE) AS max FROM lineitem"
     )
 
 
@@ -150,6 +150,11 @@ _NATION_SALES = f"""
 _TABLE_LIST = ", ".join(f"'{name}'" for name in DESCRIPTIONS)
 
 ORACLES: dict[str, str] = {
+    "file_inventory": " UNION ALL ".join(
+        f"SELECT '{name}.parquet' AS file_name, '.parquet' AS extension, count(*) AS n_rows "
+        f"FROM {name}"
+        for name in DESCRIPTIONS
+    ),
     "parquet_scan": "SELECT * FROM supplier",
     "csv_scan": (
         f"SELECT doc_id, {_na('text')}, {_na('lang')}, {_na('source')}, n_chars FROM documents"
@@ -229,7 +234,11 @@ ORACLES: dict[str, str] = {
         )
     ),
     "table_stats": " UNION ALL ".join(
-        _stats(c) for c in ("l_quantity", "l_extendedprice", "l_discount")
+        _stats(c)
+        for c in (
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        )
     ),
     "column_average": f"SELECT {_money('c_acctbal')} / count(c_acctbal) AS average FROM customer",
     "spend_per_customer": f"""
@@ -258,8 +267,7 @@ ORACLES: dict[str, str] = {
         FROM (VALUES ('customer'), ('orders')) AS names(t)
     """,
     "answer_string": """
-        SELECT string_agg(o_orderstatus || ', ' || n, chr(10) ORDER BY o_orderstatus) AS answer
-        FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)
+        SELECT c_custkey, concat_ws(', ', c_custkey, c_name, c_mktsegment) AS line FROM customer
     """,
     "answer_table": "SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY 1",
     "answer_auto": """
@@ -330,7 +338,8 @@ ORACLES: dict[str, str] = {
     "context_per_question": f"""
         SELECT conv_id, turn, n_messages, context FROM (
           SELECT conv_id, turn, role, count(*) OVER w AS n_messages,
-                 coalesce(string_agg(role || ':' || turn, ',') OVER w, '') AS context
+                 coalesce(string_agg(role || ': ' || coalesce(text, ''), chr(10)) OVER w, '')
+                   AS context
           FROM conversations
           WINDOW w AS (PARTITION BY conv_id ORDER BY turn
                        ROWS BETWEEN {LAST_MESSAGES} PRECEDING AND 1 PRECEDING))
@@ -350,18 +359,16 @@ ORACLES: dict[str, str] = {
     """,
     "tables_prompt": f"""
         SELECT DISTINCT conv_id, 'system' AS role, {_literal(
-            f"You have access to {len(DESCRIPTIONS)} tables: {_TABLE_LIST}. When answering "
-            "questions, use all relevant tables and mention which tables you're using in "
-            "your response."
+            f"Tables at hand ({len(DESCRIPTIONS)}): {_TABLE_LIST}. Draw on every table that "
+            "matters and name those you drew on."
         )} AS text FROM conversations
     """,
     "welcome_message": f"""
         WITH {_overview()}
-        SELECT 'I''ve analyzed your data from ' || count(*) || ' tables: '
+        SELECT 'Tables loaded: ' || count(*) || '. Their names: '
             || string_agg('''' || table_name || '''', ', ' ORDER BY position) || '.'
-            || ' You can ask questions that span multiple tables - '
-            || 'I''ll automatically join related data when needed.'
-            || chr(10) || chr(10) || 'Data overview:'
+            || ' A question may combine them; related rows are joined for you.'
+            || chr(10) || chr(10) || 'Sizes:'
             || string_agg(chr(10) || '- ''' || table_name || ''': ' || n_rows || ' rows, '
                           || n_columns || ' columns', '' ORDER BY position) AS message
         FROM overview

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import hashlib
 import hmac
 from collections.abc import Callable
@@ -18,7 +20,7 @@ from tableloom.functions import (
     table_name as table_name_of,
 )
 from tableloom import operators as ops
-from tableloom.plans.tables import RELATIONSHIPS, STAR_TABLES, analyzer, load
+from tableloom.plans.tables import DESCRIPTIONS, RELATIONSHIPS, STAR_TABLES, analyzer, load
 from tableloom.session import scratch_path
 from tableloom.sources import file_inventory as list_files
 from tableloom.sources import read_csv, write_csv
@@ -62,7 +64,15 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    return list_files(spark, folder)
+    """Each file of the folder with the rows of its table."""
+    counts = [
+        load(spark, folder, name).agg(
+            F.lit(f"{name}.parquet").alias("file_name"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for name in DESCRIPTIONS
+    ]
+    files = list_files(spark, folder).select("file_name", "extension")
+    return files.join(reduce(DataFrame.union, counts), "file_name")
 
 
 def infer_types(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,8 +169,7 @@ def column_info(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_stats(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["l_quantity", "l_extendedprice", "l_discount"]
-    stats = ops.table_stats(load(spark, folder, "lineitem"), columns)
+    stats = ops.table_stats(load(spark, folder, "lineitem"))
     rounded = ["mean", "std", "q25", "q50", "q75"]
     return stats.withColumns({c: F.round(c, 6) for c in rounded})
 
@@ -183,6 +192,7 @@ def spend_per_customer(spark: SparkSession, folder: str) -> DataFrame:
         "o_custkey",
         "o_totalprice",
         ["c_name", "n_name"],
+        scale=2,
     )
 
 
@@ -255,7 +265,8 @@ def _orders_per_status(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def answer_string(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.answer_string(_orders_per_status(spark, folder), ["o_orderstatus"])
+    customers = load(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return ops.answer_string(customers, ["c_custkey"])
 
 
 def answer_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -322,7 +333,7 @@ def memory_token_budget(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def context_per_question(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.context_per_question(_log(spark, folder), LAST_MESSAGES)
+    return ops.context_per_question(_log(spark, folder), LAST_MESSAGES, with_text=True)
 
 
 def session_epochs(spark: SparkSession, folder: str) -> DataFrame:

@@ -39,11 +39,16 @@ def _local_folder(application: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    A local folder is taken only when the setting is missing, as in tests.
+    Without the setting the context's own checkpoint folder is taken. A folder of
+    this machine stands in only in local mode; on a cluster executors would not
+    see each other's files there, so that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = _local_folder(spark.sparkContext.applicationId)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _local_folder(context.applicationId)
     return folder.rstrip("/")
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableloom.functions.names import free_name
 from tableloom.functions.columns import quoted
 from tableloom.functions.typing import apply_types, infer_schema, na_normalise
 from tableloom.session import cut_lineage
@@ -32,19 +33,13 @@ def header_names(cells: list[str | None]) -> list[str]:
     A blank cell becomes ``unnamed_<index>``. A repeat, compared without case,
     gets the first free suffix ``_1``, ``_2``, ...
     """
-    names: list[str] = []
+    first, *others = [cell or "" for cell in cells] or [""]
+    bases = [first.removeprefix("\ufeff"), *others][: len(cells)]
     used: set[str] = set()
-    for index, cell in enumerate(cells):
-        base = f"unnamed_{index}" if cell is None or cell == "" else cell
-        if index == 0:
-            base = base.removeprefix("\ufeff")
-        name, number = base, 0
-        while name.lower() in used:
-            number += 1
-            name = f"{base}_{number}"
-        used.add(name.lower())
-        names.append(name)
-    return names
+    return [
+        free_name(base or f"unnamed_{index}", used, "_", str.lower)
+        for index, base in enumerate(bases)
+    ]
 
 
 def _options(multiline: bool) -> dict[str, object]:

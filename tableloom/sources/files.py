@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import PurePath
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.functions.names import file_extension
-from tableloom.operators.unique_names import assign_name
+from tableloom.functions.names import free_name
 from tableloom.sources.delimited import read_csv
 from tableloom.sources.workbooks import read_excel
 
@@ -22,7 +24,10 @@ NOTHING_LOADED = "No valid data files were uploaded"
 class LoadError(ValueError):
     """An upload was rejected; ``errors`` lists one message per failed file."""
 
-    def __init__(self, errors: list[str]):
+    LOADS_AT_ONCE = 8
+
+
+def __init__(self, errors: list[str]):
         super().__init__("; ".join(errors))
         self.errors = errors
 
@@ -65,17 +70,21 @@ def load_multiple_dataframes(
     """
     if on_error not in ("partial", "fail"):
         raise ValueError("on_error must be 'partial' or 'fail'")
-    tables: dict[str, DataFrame] = {}
-    errors: list[str] = []
+    # each load plans and types by itself, so they may wait for the cluster together
+    with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+        outcomes = list(pool.map(lambda path: load_dataframe(spark, path), paths))
+    names = [PurePath(path or "").name for path in paths]
+    errors = [
+        f"Error loading {name}: {error}"
+        for name, (_, error) in zip(names, outcomes, strict=True)
+        if error is not None
+    ]
     used: set[str] = set()
-    for path in paths:
-        file_name = os.path.basename(path or "")
-        df, error = load_dataframe(spark, path)
-        if error is not None:
-            errors.append(f"Error loading {file_name}: {error}")
-            continue
-        base = os.path.splitext(file_name)[0].lower().replace(" ", "_")
-        tables[assign_name(base, used)] = df
+    tables = {
+        free_name("_".join(PurePath(name).stem.lower().split(" ")), used): df
+        for name, (df, error) in zip(names, outcomes, strict=True)
+        if error is None
+    }
     if on_error == "fail":
         if errors:
             raise LoadError(errors)

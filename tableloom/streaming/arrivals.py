@@ -11,12 +11,18 @@ from tableloom.functions.typing import na_normalise
 def stream_csv(
     spark: SparkSession, folder: str, schema: str, files_per_batch: int = 1_000
 ) -> DataFrame:
-    """Stream of the delimited files of a folder, with a stated schema."""
+    """Stream of the delimited files of a folder, with a stated schema.
+
+    A row with too many or too few fields and a value that does not fit its type
+    fail the batch; nothing is cut or turned into null but ``NA`` and empty cells.
+    """
     text = (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("nullValue", "NA")
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )

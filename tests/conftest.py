@@ -23,6 +23,10 @@ def folder():
     return FOLDER
 
 
+# The inputs of the three stated answers (average of A is 3.0; what each
+# customer spent, by name and country; two orders of the first customer).
+
+
 @pytest.fixture
 def sample(spark):
     rows = [(1, 10, "a"), (2, 20, "b"), (3, 30, "c"), (4, 40, "d"), (5, 50, "e")]

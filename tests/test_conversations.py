@@ -131,7 +131,7 @@ def test_append_only_log(spark):
     ops.append_messages(path, spark.createDataFrame([(1, 0, "user", "text", "hi")], schema))
     ops.append_messages(path, spark.createDataFrame([(1, 1, "assistant", "string", "ho")], schema))
     log = spark.read.parquet(path)
-    assert rows(log, "turn", "role", "type", "content") == [
+    assert rows(log, "turn", "role", "type", "text") == [
         (0, "user", "text", "hi"), (1, "assistant", "string", "ho"),
     ]
     assert ops.next_turns(log).first().next_turn == 2

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tableloom.functions import file_extension, file_stem, table_name, view_name
 from tableloom.operators import unique_names
 from tableloom.operators.catalog import safe_view_name
-from tableloom.operators.unique_names import assign_name
+from tableloom.functions.names import free_name
 
 FILES = [
     "My Data.csv",
@@ -55,7 +55,7 @@ def name_all(spark, bases, **options):
 
 def loop(bases):
     used = set()
-    return [assign_name(b, used) for b in bases]
+    return [free_name(b, used) for b in bases]
 
 
 @pytest.mark.parametrize(
