@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import PurePath
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.functions.names import file_extension
-from tableloom.functions.names import free_name
+from tableloom.functions.names import file_extension, free_name
 from tableloom.sources.delimited import read_csv
 from tableloom.sources.workbooks import read_excel
 
@@ -20,14 +19,14 @@ NO_FILE = "No file uploaded"
 UNSUPPORTED = "Unsupported file format"
 NOTHING_LOADED = "No valid data files were uploaded"
 
+#: Files that one call loads side by side.
+LOADS_AT_ONCE = 8
+
 
 class LoadError(ValueError):
     """An upload was rejected; ``errors`` lists one message per failed file."""
 
-    LOADS_AT_ONCE = 8
-
-
-def __init__(self, errors: list[str]):
+    def __init__(self, errors: list[str]):
         super().__init__("; ".join(errors))
         self.errors = errors
 

@@ -57,6 +57,14 @@ def test_short_span_needs_no_blocks(rows):
     assert OrderedGroups.measure(rows.limit(0), ["k"], "o", 400).bounded
 
 
-def test_neighbours_beyond_a_block_are_refused(rows):
-    with pytest.raises(ValueError):
-        OrderedGroups.measure(rows, ["k"], "o", 5).with_neighbours(rows, {}, before=6)
+@pytest.mark.parametrize("reach", [6, 23])
+def test_neighbours_beyond_a_block(rows, reach):
+    def seen(block):
+        columns = {
+            "before": lambda w: F.collect_list("v").over(w.rowsBetween(-reach, -1)),
+            "after": lambda w: F.collect_list("v").over(w.rowsBetween(1, reach)),
+        }
+        groups = OrderedGroups.measure(rows, ["k"], "o", block)
+        return ordered(groups.with_neighbours(rows, columns, before=reach, after=reach))
+
+    assert seen(5) == seen(10_000)
