@@ -2,7 +2,7 @@
 
 import hashlib
 import itertools
-import json
+import re
 import zlib
 from collections import defaultdict
 
@@ -234,7 +234,7 @@ def test_packing_places_everything_without_conflict(spark, folder, odd_documents
         given = docs.collect()
         made = queries.packed_documents(docs).collect()
         assert sum(r.n_tokens for r in made) == sum(len((g.text or "").split()) for g in given if g.doc_id != 8) + sum(
-            len(transcripts.re.findall(r"[^\x20\x09-\x0D]+", g.text)) for g in given if g.doc_id == 8
+            len(re.findall(r"[^\x20\x09-\x0D]+", g.text)) for g in given if g.doc_id == 8
         )
         by_id = {g.doc_id: g for g in given}
         held = defaultdict(list)
@@ -329,4 +329,3 @@ def test_pipeline_stages_act(spark, folder):
     assert mixed.columns == docs.columns
     packed = corpus_pipeline.packed(spark, mixed, folder)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in mixed.collect()}
-    assert json.dumps(packed.columns)
