@@ -21,7 +21,9 @@ from tableloom.llm.tables import texts
 from tableloom.session import cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LETTER = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+WORD = f"{LETTER}+"
 CONTAINMENT = 0.8
 
 #: Phrases and their labels.
@@ -65,47 +67,53 @@ def needed(n_words: int, containment: float) -> int:
     return max(1, math.ceil(round(containment * n_words, 9)))
 
 
-def phrase_starts(low: Column, phrase: str) -> Column:
-    """Word numbers where the phrase begins; texts without its words are not cut."""
-    parts = phrase.split(" ")
-    held = words(low)
-    places = F.sequence(F.lit(0), F.size(held) - F.lit(len(parts)))
+def phrase_pieces(low: Column, phrase: str) -> Column:
+    """The text cut at the first word of every place of the phrase; uncut, one piece.
+
+    The other words are only looked at, so that places may overlap. A cut takes one
+    whole word, so the words of the pieces are those of the text without it.
+    """
+    first, *others = [re.escape(part) for part in phrase.split(" ")]
+    ahead = "".join(f"{BETWEEN}+{part}" for part in others)
+    place = f"(?<!{LETTER}){first}(?={ahead}(?!{LETTER}))"
+    possible = F.lit(True)
+    for part in phrase.split(" "):
+        possible = possible & F.contains(low, F.lit(part))
+    return F.when(possible, F.split(low, place)).otherwise(F.array(low))
 
-    def begins(place: Column) -> Column:
-        met = F.get(held, place) == parts[0]
-        for k, part in enumerate(parts[1:], 1):
-            met = met & (F.get(held, place + k) == part)
-        return met
 
-    possible = F.size(held) >= len(parts)
-    for part in parts:
-        possible = F.contains(low, F.lit(part)) & possible
-    none = F.array().cast("array<int>")
-    return F.when(possible, F.filter(places, begins)).otherwise(none)
+def n_words(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
 def base_columns(rows: DataFrame, phrases: Mapping[str, str]) -> DataFrame:
     """Word count, places of the phrases and their labels, of ``low``."""
-    named = {f"_starts{i}": phrase for i, phrase in enumerate(phrases)}
-    found = rows.withColumns(
-        {name: phrase_starts(F.col("low"), phrase) for name, phrase in named.items()}
-    )
-    starts = F.concat(*named)
-    labels = F.array_distinct(
-        F.array_compact(
-            F.array(
-                *[F.when(F.size(n) > 0, F.lit(phrases[phrase])) for n, phrase in named.items()]
-            )
-        )
+    pieces = {f"_pieces{i}": phrase for i, phrase in enumerate(phrases)}
+    found = rows.withColumn("n_words", n_words(F.col("low"))).withColumns(
+        {name: phrase_pieces(F.col("low"), phrase) for name, phrase in pieces.items()}
     )
+    places = [F.size(name) - 1 for name in pieces]
+    met = [F.size(name) > 1 for name in pieces]
+    firsts = [
+        F.when(here, n_words(F.get(name, F.lit(0))))
+        for here, name in zip(met, pieces, strict=True)
+    ]
+    lasts = [
+        F.when(here, F.col("n_words") - 1 - n_words(F.element_at(name, -1)))
+        for here, name in zip(met, pieces, strict=True)
+    ]
+    labels = [
+        F.when(here, F.lit(phrases[phrase]))
+        for here, phrase in zip(met, pieces.values(), strict=True)
+    ]
     return found.select(
         "doc_id",
         "key",
-        F.regexp_count("low", F.lit(WORD)).cast("long").alias("n_words"),
-        F.size(starts).cast("long").alias("n_base"),
-        F.array_min(starts).cast("long").alias("first_word"),
-        F.array_max(starts).cast("long").alias("last_word"),
-        labels.alias("base"),
+        "n_words",
+        sum(places, F.lit(0)).cast("long").alias("n_base"),
+        F.array_min(F.array(*firsts)).alias("first_word"),
+        F.array_max(F.array(*lasts)).alias("last_word"),
+        F.array_distinct(F.array_compact(F.array(*labels))).alias("base"),
     )
 
 
