@@ -1,7 +1,9 @@
 """License scan: phrases, and an exact set-similarity join with license templates.
 
 A text block (a line) matches a template if it holds enough of the template's
-distinct words. Template words are put in the order of their document frequency
+distinct words. One pass over the texts finds phrases and the template words that
+each text holds; only texts with enough words of some template keep their lines.
+Template words are put in the order of their document frequency
 over all texts, rarest first. A block that holds ``k`` of the ``n`` words of a
 template holds one of its ``n - k + 1`` rarest, so only blocks with such a word
 meet the template; pairs too short or too late in the order to reach ``k`` are
@@ -87,9 +89,9 @@ def n_words(text: Column) -> Column:
 
 
 def base_columns(rows: DataFrame, phrases: Mapping[str, str]) -> DataFrame:
-    """Word count, places of the phrases and their labels, of ``low``."""
+    """Places of the phrases and their labels, of ``low`` with its ``n_words``."""
     pieces = {f"_pieces{i}": phrase for i, phrase in enumerate(phrases)}
-    found = rows.withColumn("n_words", n_words(F.col("low"))).withColumns(
+    found = rows.withColumns(
         {name: phrase_pieces(F.col("low"), phrase) for name, phrase in pieces.items()}
     )
     places = [F.size(name) - 1 for name in pieces]
@@ -108,8 +110,10 @@ def base_columns(rows: DataFrame, phrases: Mapping[str, str]) -> DataFrame:
     ]
     return found.select(
         "doc_id",
-        "key",
+        "row",
         "n_words",
+        "held",
+        "lines",
         sum(places, F.lit(0)).cast("long").alias("n_base"),
         F.array_min(F.array(*firsts)).alias("first_word"),
         F.array_max(F.array(*lasts)).alias("last_word"),
@@ -117,50 +121,68 @@ def base_columns(rows: DataFrame, phrases: Mapping[str, str]) -> DataFrame:
     )
 
 
-def word_frequencies(rows: DataFrame, vocabulary: Sequence[str]) -> dict[str, int]:
+def listed(words: Sequence[str]) -> Column:
+    return F.array(*[F.lit(word) for word in words]).cast("array<string>")
+
+
+def scanned(rows: DataFrame, sets: Mapping[str, list[str]], containment: float) -> DataFrame:
+    """``low`` with ``row``, ``n_words``, the template words ``held`` and possible ``lines``.
+
+    A line with enough words of a template stands in a text with as many, so
+    other texts keep no lines.
+    """
+    vocabulary = sorted({word for held in sets.values() for word in held})
+    cut = rows.withColumn("words", words(F.col("low")))
+    known = cut.select(
+        "doc_id",
+        "low",
+        F.monotonically_increasing_id().alias("row"),
+        F.size("words").cast("long").alias("n_words"),
+        F.array_intersect(F.col("words"), listed(vocabulary)).alias("held"),
+    )
+    enough = F.lit(False)
+    for held in sets.values():
+        shared = F.size(F.array_intersect("held", listed(held)))
+        enough = enough | (shared >= needed(len(held), containment))
+    return known.withColumn("lines", F.when(enough, F.split("low", "\n")))
+
+
+def word_frequencies(texts_read: DataFrame) -> dict[str, int]:
     """Texts holding each word of the templates; one row per such word is collected."""
-    listed = F.array(*[F.lit(word) for word in vocabulary])
-    held = rows.select(F.explode(F.array_intersect(words(F.col("low")), listed)).alias("word"))
+    held = texts_read.select(F.explode("held").alias("word"))
     return {r["word"]: r["count"] for r in held.groupBy("word").count().collect()}
 
 
 def template_matches(
-    rows: DataFrame, templates: Mapping[str, str], containment: float
+    texts_read: DataFrame, sets: Mapping[str, list[str]], containment: float
 ) -> DataFrame:
-    """``key``, ``label`` and ``share`` of every line and template that match."""
-    sets = {label: template_words(text) for label, text in templates.items()}
-    vocabulary = sorted({word for listed in sets.values() for word in listed})
-    often = word_frequencies(rows, vocabulary)
+    """``row``, ``label`` and ``share`` of every line and template that match."""
+    often = word_frequencies(texts_read)
+    vocabulary = {word for held in sets.values() for word in held}
     order = sorted(vocabulary, key=lambda word: (often.get(word, 0), word))
     rank = {word: place for place, word in enumerate(order)}
-    index, prefixes = [], set()
-    for label, listed in sets.items():
-        ordered = sorted(listed, key=rank.get)
+    index = []
+    for label, held in sets.items():
+        ordered = sorted(held, key=rank.get)
         least = needed(len(ordered), containment)
         for place, word in enumerate(ordered[: len(ordered) - least + 1]):
             index.append((word, place, label, ordered, least))
-            prefixes.add(word)
     # as many rows as the templates have words
-    indexed = rows.sparkSession.createDataFrame(
+    indexed = texts_read.sparkSession.createDataFrame(
         index, "word string, place int, label string, template array<string>, least int"
     )
-    possible = F.lit(False)
-    for word in sorted(prefixes):
-        possible = possible | F.contains("low", F.lit(word))
-    lines = rows.where(possible).select("key", F.explode(F.split("low", "\n")).alias("line"))
-    ordered = F.array_intersect(
-        F.array(*[F.lit(word) for word in order]), words(F.col("line"))
+    lines = texts_read.select("row", F.explode("lines").alias("line"))
+    blocks = lines.select(
+        "row", F.array_intersect(listed(order), words(F.col("line"))).alias("held")
     )
-    shortest = min(row[4] for row in index)
-    blocks = lines.select("key", ordered.alias("held")).where(F.size("held") >= shortest)
-    met = blocks.select("key", "held", F.posexplode("held").alias("at", "word"))
+    met = blocks.select("row", "held", F.posexplode("held").alias("at", "word"))
     reach = 1 + F.least(F.size("template") - F.col("place"), F.size("held") - F.col("at")) - 1
     shared = F.size(F.array_intersect("held", "template"))
     return (
         met.join(F.broadcast(indexed), "word")
         .where((F.size("held") >= F.col("least")) & (reach >= F.col("least")))
         .where(shared >= F.col("least"))
-        .select("key", "label", (shared / F.size("template")).alias("share"))
+        .select("row", "label", (shared / F.size("template")).alias("share"))
     )
 
 
@@ -175,19 +197,17 @@ def scan_licenses(
     ``score`` is 1 with a phrase, else the largest share of a template found in
     one line, or 0. Null and empty texts have no words: counts are 0, places
     null, labels empty. A row for every row of ``docs``, repeated ones included;
-    only ``doc_id`` and ``text`` are read. Copies of a text are matched one by
-    one, but their matches meet as one row per text and label.
+    only ``doc_id`` and ``text`` are read. Texts are read once and not shuffled.
     """
-    rows = texts(docs, "doc_id", "text").select(
-        "doc_id", lowered(F.col("text")).alias("low"), F.md5(F.col("text")).alias("key")
-    )
+    sets = {label: template_words(text) for label, text in templates.items()}
+    rows = texts(docs, "doc_id", "text").select("doc_id", lowered(F.col("text")).alias("low"))
+    base = cut_lineage(base_columns(scanned(rows, sets, containment), phrases))
     matches = (
-        template_matches(rows, templates, containment)
-        .groupBy("key")
+        template_matches(base, sets, containment)
+        .groupBy("row")
         .agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
     )
-    base = base_columns(rows, phrases)
-    joined = base.join(cut_lineage(matches), "key", "left")
+    joined = base.drop("held", "lines").join(cut_lineage(matches), "row", "left")
     found = F.coalesce("found", F.array().cast("array<string>"))
     every = F.array_sort(F.array_union("base", found))
     return joined.select(
