@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tableloom.functions.columns import column
 from tableloom.llm.components import components
 from tableloom.llm.tables import texts
-from tableloom.llm.words import words_of
+from tableloom.llm.words import in_pieces, words_of
 from tableloom.session import cut_lineage
 
 SHINGLE = 5
@@ -109,7 +109,7 @@ def cell_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, rows = np.zeros(1 << CELL_BITS, np.int64), 0
-        for batch in batches:
+        for batch in in_pieces(batches, "text"):
             found = shingles_of(batch.column("text"))
             totals += np.bincount(cells(found.hashes), minlength=len(totals))
             rows += batch.num_rows
@@ -178,7 +178,7 @@ def signatures(docs: DataFrame, factors: np.ndarray) -> DataFrame:
     """``doc_id``, ``key`` of the exact text, ``bands`` (empty without words), total ``weight``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, "text"):
             found = shingles_of(batch.column("text"))
             bands = band_hashes(found, factors).view(np.int64)
             empty = np.diff(found.bounds) == 0
@@ -214,7 +214,7 @@ def linked(pairs: DataFrame, contents: DataFrame, factors: np.ndarray, least: fl
     right = contents.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, "text_a", "text_b"):
             sides = [shingles_of(batch.column(name)) for name in ("text_a", "text_b")]
             kept = []
             for i in range(batch.num_rows):

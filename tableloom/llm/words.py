@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Bytes of text worked on at once; a longer text is a piece of its own.
+PIECE_BYTES = 1 << 20
+
+
+def in_pieces(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in smaller ones, by the bytes of the named text columns."""
+    for batch in batches:
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for name in names:
+            sizes += pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy()
+        begins = np.flatnonzero(np.diff(np.cumsum(sizes) // PIECE_BYTES, prepend=-1)).tolist()
+        for begin, end in zip(begins, [*begins[1:], batch.num_rows], strict=True):
+            yield batch.slice(begin, end - begin)
+
 
 @dataclass(frozen=True)
 class Words:
