@@ -35,8 +35,8 @@ BANDS, ROWS = 12, 3
 CELL_BITS = 18
 #: Share by which a shingle in one document outweighs one that all documents have.
 IDF_SHARE = 0.2
-#: Shingles sampled at once.
-SLICE = 1 << 20
+#: Shingles sampled at once, few enough for the cache of a core.
+SLICE = 1 << 14
 
 FACTORS = np.array([xxhash.xxh64_intdigest(bytes([k])) | 1 for k in range(SHINGLE)], np.uint64)
 SEEDS = np.array([xxhash.xxh64_intdigest(b"s%d" % k) for k in range(BANDS * ROWS)], np.uint64)
@@ -128,24 +128,31 @@ def cell_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     return totals[:-1], int(totals[-1])
 
 
-def exponential_table() -> np.ndarray:
-    """Of each 16-bit number the exponential variable that it stands for."""
-    return -np.log((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
-
-
-EXPONENTIAL = exponential_table()
+def spread(values: np.ndarray) -> np.ndarray:
+    """A cheaper ``mixed`` for numbers that are hashes already."""
+    made = values * np.uint64(0xBF58476D1CE4E5B9)
+    made ^= made >> np.uint64(32)
+    made *= np.uint64(0x94D049BB133111EB)
+    made ^= made >> np.uint64(29)
+    return made
 
 
 def samples(hashes: np.ndarray, log_weights: np.ndarray, seed: np.uint64) -> tuple:
-    """For each shingle its logarithmic sampling value and its quantised weight level."""
-    drawn = mixed(hashes ^ seed)
-    bits = [(drawn >> np.uint64(16 * k)) & np.uint64(0xFFFF) for k in range(4)]
-    r = EXPONENTIAL[bits[0]] + EXPONENTIAL[bits[1]]
-    c = EXPONENTIAL[bits[2]] + EXPONENTIAL[bits[3]]
-    more = (drawn * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)
-    beta = more.astype(np.float32) * np.float32(2**-24)
+    """For each shingle its logarithmic sampling value and its quantised weight level.
+
+    The gamma variables ``r`` and ``c`` are each the negative logarithm of the product
+    of two uniform 16-bit numbers, ``beta`` is a uniform 24-bit number.
+    """
+    drawn = spread(hashes ^ seed)
+    uniform = drawn.view("<u2").reshape(-1, 4).astype(np.float32)
+    uniform += np.float32(0.5)
+    uniform *= np.float32(2**-16)
+    gamma = -np.log(uniform[:, ::2] * uniform[:, 1::2])
+    r, c = gamma[:, 0], gamma[:, 1]
+    drawn *= np.uint64(0xD6E8FEB86659FD93)
+    beta = (drawn >> np.uint64(40)).astype(np.float32) * np.float32(2**-24)
     level = np.floor(log_weights / r + beta)
-    return np.log(c) - r * (level - beta) - r, level
+    return np.log(c) - r * (level - beta + np.float32(1)), level
 
 
 def band_hashes(found: Shingles, factors: np.ndarray) -> np.ndarray:
@@ -166,7 +173,7 @@ def band_hashes(found: Shingles, factors: np.ndarray) -> np.ndarray:
             b = a + SLICE
             values[a:b], levels[a:b] = samples(found.hashes[a:b], weights[a:b], seed)
         lowest = np.minimum.reduceat(values, starts)
-        hits = np.flatnonzero(values == lowest[owners])
+        hits = np.flatnonzero(values == np.repeat(lowest, sizes))
         _, first = np.unique(owners[hits], return_index=True)
         picked = hits[first]
         drawn = mixed(found.hashes[picked] ^ levels[picked].astype(np.int64).view(np.uint64))
