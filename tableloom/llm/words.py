@@ -16,6 +16,8 @@ PIECE_BYTES = 1 << 20
 def in_pieces(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in smaller ones, by the bytes of the named text columns."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         sizes = np.zeros(batch.num_rows, np.int64)
         for name in names:
             sizes += pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy()

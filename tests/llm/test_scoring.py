@@ -9,6 +9,7 @@ import sentencepiece
 
 from tableloom.llm import byte_cnn, fertility, licenses, url_rules
 from tableloom.llm.queries import HOST_RULES, PIECES
+from tableloom.llm.words import PIECE_BYTES, in_pieces
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -198,3 +199,17 @@ def test_licenses_equal_plain_search(spark, folder, odd_documents, no_documents)
 def test_licenses_run_no_python(odd_documents):
     plan = licenses.scan_licenses(odd_documents)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_pieces_hold_every_row_once_in_order():
+    listed = [None, "", "a" * (2 * PIECE_BYTES), "b", None, "c" * PIECE_BYTES, ""]
+    batches = [
+        pa.RecordBatch.from_pydict({"text": pa.array(part, pa.string())})
+        for part in (listed, [], [None])
+    ]
+    pieces = list(in_pieces(iter(batches), "text"))
+    found = [value for piece in pieces for value in piece.column("text").to_pylist()]
+    assert found == [*listed, None]
+    for piece in pieces:
+        lengths = [len(value or "") for value in piece.column("text").to_pylist()]
+        assert piece.num_rows and sum(lengths[1:]) <= PIECE_BYTES
