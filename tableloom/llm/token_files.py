@@ -76,7 +76,8 @@ class Encoder:
     """Ids of texts, word by word: no token of this vocabulary spans white space.
 
     A distinct word of a batch is looked up once. Plain words are cut further,
-    where the vocabulary cuts as well, and these parts are remembered.
+    where the vocabulary cuts as well, and these parts are remembered. Added tokens
+    are found before that cut, so words that may hold one stay whole.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -84,6 +85,10 @@ class Encoder:
         self.bits = bits_for(self.model.get_vocab_size())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.end = np.array([end_id], self.kind)
+        added = [token.content for token in self.model.get_added_tokens_decoder().values()]
+        # in lower case this finds at least every word that holds one; without any, none
+        listed = [re.escape(content.lower()) for content in added]
+        self.added = re.compile("|".join(listed) or "(?!)")
         self.known: dict[str, bytes] = {}
 
     def learn(self, parts: list[str]) -> None:
@@ -93,9 +98,15 @@ class Encoder:
             for part, one in zip(parts, made, strict=True)
         )
 
+    def cut(self, word: str) -> list[str]:
+        low = word.lower()
+        if PLAIN_WORD.fullmatch(word) and not self.added.search(low):
+            return PARTS.findall(low)
+        return [word]
+
     def words(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and how many each word has."""
-        cut = [PARTS.findall(w.lower()) if PLAIN_WORD.fullmatch(w) else [w] for w in listed]
+        cut = [self.cut(word) for word in listed]
         if len(self.known) > REMEMBERED_PARTS:
             self.known = {}
         new = {part for parts in cut for part in parts if part not in self.known}

@@ -98,6 +98,24 @@ def test_token_files_round_trip(spark, odd_documents, no_documents):
     assert token_files.read_tokens(spark, empty).count() == 0
 
 
+def test_token_files_find_added_tokens(spark):
+    model = Tokenizer.from_file(queries.WORD_PIECES)
+    texts = [
+        "the end<|endoftext|> next", "<|endoftext|>", "<|startoftext|>A<|endoftext|><|endoftext|>b",
+        "THE <|ENDOFTEXT|> <|EndOfText|>x", "<|endoftext|", "é<|endoftext|>漢 «<|startoftext|>»",
+        "it's<|endoftext|>'s 12<|startoftext|>34", "<|end oftext|> <<|endoftext|>>", "after them",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    files = scratch_path(spark, "tokens")
+    token_files.write_tokens(rows, queries.WORD_PIECES, 1, files)
+    before = 0
+    for r in token_files.read_tokens(spark, files).orderBy("doc_id").collect():
+        wanted = model.encode(texts[r.doc_id], add_special_tokens=False).ids + [1]
+        assert (r.ids, r.start, r.n_tokens) == (wanted, before, len(wanted)), texts[r.doc_id]
+        before += len(wanted)
+    assert model.encode(texts[0], add_special_tokens=False).ids == [518, 806, 49407, 1131]
+
+
 def plain_classes(docs, factors):
     shingles = near.shingles_of(pa.array([r.text for r in docs]))
     holders, root = defaultdict(list), list(range(len(docs)))
