@@ -1,13 +1,21 @@
 """License scan: phrases, and an exact set-similarity join with license templates.
 
-A text block (a line) matches a template if it holds enough of the template's
-distinct words. One pass over the texts finds phrases and the template words that
-each text holds; only texts with enough words of some template keep their lines.
-Template words are put in the order of their document frequency
+A text block matches a template if it holds enough of the template's distinct
+words. Blocks are the lines, and across line breaks every run of as many
+consecutive words as the template has, so that wrapped templates are found. One
+pass over the texts finds phrases and the template words that each text holds;
+only texts with enough words of some template are kept for the blocks.
+
+Lines: template words are put in the order of their document frequency
 over all texts, rarest first. A block that holds ``k`` of the ``n`` words of a
 template holds one of its ``n - k + 1`` rarest, so only blocks with such a word
 meet the template; pairs too short or too late in the order to reach ``k`` are
-left out before the words are compared. Everything here is DataFrame functions.
+left out before the words are compared.
+
+Runs: of a kept text only the places of a template's words are looked at. A run
+that holds ``k`` of them can be moved to begin with one, and then the ``k``-th
+from there lies within it; only where that holds are distinct words counted.
+Everything here is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -59,9 +67,12 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({WORD})"))
 
 
+def all_template_words(text: str) -> list[str]:
+    return re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))
+
+
 def template_words(text: str) -> list[str]:
-    table = str.maketrans(UPPER, LOWER)
-    return list(dict.fromkeys(re.findall(WORD, text.translate(table))))
+    return list(dict.fromkeys(all_template_words(text)))
 
 
 def needed(n_words: int, containment: float) -> int:
@@ -113,7 +124,7 @@ def base_columns(rows: DataFrame, phrases: Mapping[str, str]) -> DataFrame:
         "row",
         "n_words",
         "held",
-        "lines",
+        "kept",
         sum(places, F.lit(0)).cast("long").alias("n_base"),
         F.array_min(F.array(*firsts)).alias("first_word"),
         F.array_max(F.array(*lasts)).alias("last_word"),
@@ -126,10 +137,10 @@ def listed(words: Sequence[str]) -> Column:
 
 
 def scanned(rows: DataFrame, sets: Mapping[str, list[str]], containment: float) -> DataFrame:
-    """``low`` with ``row``, ``n_words``, the template words ``held`` and possible ``lines``.
+    """``low`` with ``row``, ``n_words``, the template words ``held`` and ``kept``.
 
-    A line with enough words of a template stands in a text with as many, so
-    other texts keep no lines.
+    A block with enough words of a template stands in a text with as many, so
+    other texts are not ``kept``.
     """
     vocabulary = sorted({word for held in sets.values() for word in held})
     cut = rows.withColumn("words", words(F.col("low")))
@@ -144,7 +155,7 @@ def scanned(rows: DataFrame, sets: Mapping[str, list[str]], containment: float)
     for held in sets.values():
         shared = F.size(F.array_intersect("held", listed(held)))
         enough = enough | (shared >= needed(len(held), containment))
-    return known.withColumn("lines", F.when(enough, F.split("low", "\n")))
+    return known.withColumn("kept", F.when(enough, F.col("low")))
 
 
 def word_frequencies(texts_read: DataFrame) -> dict[str, int]:
@@ -153,7 +164,7 @@ def word_frequencies(texts_read: DataFrame) -> dict[str, int]:
     return {r["word"]: r["count"] for r in held.groupBy("word").count().collect()}
 
 
-def template_matches(
+def line_matches(
     texts_read: DataFrame, sets: Mapping[str, list[str]], containment: float
 ) -> DataFrame:
     """``row``, ``label`` and ``share`` of every line and template that match."""
@@ -171,7 +182,7 @@ def template_matches(
     indexed = texts_read.sparkSession.createDataFrame(
         index, "word string, place int, label string, template array<string>, least int"
     )
-    lines = texts_read.select("row", F.explode("lines").alias("line"))
+    lines = texts_read.select("row", F.explode(F.split("kept", "\n")).alias("line"))
     blocks = lines.select(
         "row", F.array_intersect(listed(order), words(F.col("line"))).alias("held")
     )
@@ -186,6 +197,57 @@ def template_matches(
     )
 
 
+def run_matches(
+    texts_read: DataFrame,
+    sets: Mapping[str, list[str]],
+    lengths: Mapping[str, int],
+    containment: float,
+) -> DataFrame:
+    """``row``, ``label`` and ``share`` of every text and template that match in a run.
+
+    ``lengths`` are the words of a run. A text meets only templates of which it
+    holds enough words anywhere.
+    """
+    known = [
+        F.struct(
+            F.lit(label).alias("label"),
+            listed(held).alias("words"),
+            F.lit(needed(len(held), containment)).alias("least"),
+            F.lit(lengths[label]).alias("length"),
+        )
+        for label, held in sets.items()
+    ]
+    if not known:
+        return texts_read.sparkSession.createDataFrame([], "row long, label string, share double")
+    possible = F.filter(
+        F.array(*known),
+        lambda one: F.size(F.array_intersect(F.col("held"), one["words"])) >= one["least"],
+    )
+    met = texts_read.where("kept is not null").select(
+        "row", words(F.col("kept")).alias("words"), F.explode(possible).alias("one")
+    )
+    placed = F.transform("words", lambda word, at: F.struct(at.alias("at"), word.alias("word")))
+    met = met.select(
+        "row",
+        "one",
+        F.filter(placed, lambda hit: F.array_contains("one.words", hit["word"])).alias("hits"),
+    )
+
+    def most(hit: Column, place: Column) -> Column:
+        """Distinct words in the run that begins with the hit; 0 if surely too few."""
+        end = hit["at"] + F.col("one.length")
+        last = F.get("hits", place + F.col("one.least") - 1)
+        ahead = F.slice("hits", place + 1, F.col("one.length"))
+        run = F.filter(ahead, lambda other: other["at"] < end)
+        distinct = F.size(F.array_distinct(F.transform(run, lambda other: other["word"])))
+        return F.when(last["at"] < end, distinct).otherwise(0)
+
+    best = met.select("row", "one", F.array_max(F.transform("hits", most)).alias("best"))
+    return best.where(F.col("best") >= F.col("one.least")).select(
+        "row", "one.label", (F.col("best") / F.size("one.words")).alias("share")
+    )
+
+
 def scan_licenses(
     docs: DataFrame,
     phrases: Mapping[str, str] = PHRASES,
@@ -195,19 +257,21 @@ def scan_licenses(
     """Phrases and templates found in every whole text.
 
     ``score`` is 1 with a phrase, else the largest share of a template found in
-    one line, or 0. Null and empty texts have no words: counts are 0, places
+    one block, or 0. Null and empty texts have no words: counts are 0, places
     null, labels empty. A row for every row of ``docs``, repeated ones included;
     only ``doc_id`` and ``text`` are read. Texts are read once and not shuffled.
     """
     sets = {label: template_words(text) for label, text in templates.items()}
     rows = texts(docs, "doc_id", "text").select("doc_id", lowered(F.col("text")).alias("low"))
     base = cut_lineage(base_columns(scanned(rows, sets, containment), phrases))
+    lengths = {label: len(all_template_words(text)) for label, text in templates.items()}
     matches = (
-        template_matches(base, sets, containment)
+        line_matches(base, sets, containment)
+        .union(run_matches(base, sets, lengths, containment))
         .groupBy("row")
         .agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
     )
-    joined = base.drop("held", "lines").join(cut_lineage(matches), "row", "left")
+    joined = base.drop("held", "kept").join(cut_lineage(matches), "row", "left")
     found = F.coalesce("found", F.array().cast("array<string>"))
     every = F.array_sort(F.array_union("base", found))
     return joined.select(

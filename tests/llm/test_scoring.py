@@ -1,6 +1,7 @@
 """Quality rules, classifier, URL filter and licence scan against plain Python."""
 
 import re
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -196,6 +197,46 @@ def test_licenses_equal_plain_search(spark, folder, odd_documents, no_documents)
     assert public_tokenizers.path("piece_bpe_32k.model") == PIECES
 
 
+def plain_wrapped_license(text):
+    """Labels and best share of templates over all lines and all runs of words."""
+    low = text.translate(str.maketrans(licenses.UPPER, licenses.LOWER))
+    every, found = re.findall(licenses.WORD, low), {}
+    for label, template in licenses.TEMPLATES.items():
+        wanted = licenses.all_template_words(template)
+        runs = [every[i : i + len(wanted)] for i in range(len(every))]
+        blocks = runs + [re.findall(licenses.WORD, line) for line in low.split("\n")]
+        found[label] = max(len(set(b) & set(wanted)) / len(set(wanted)) for b in blocks)
+    found = {label: share for label, share in found.items() if share >= licenses.CONTAINMENT}
+    return ",".join(sorted(found)), max(found.values(), default=0.0)
+
+
+def test_licenses_survive_wrapping(spark):
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without\n"
+        "modification, are permitted provided that the following conditions are\nmet:"
+    )
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+        'of this software and associated documentation files (the "Software"), to deal'
+    )
+    whole, draw = " ".join(licenses.TEMPLATES.values()), np.random.default_rng(4)
+    texts = [bsd, mit, "\n".join(f" * {x}\r" for x in f"{bsd}\n\n{mit}".split("\n")), "of the and in to " * 50]
+    for width in (20, 40, 75):
+        texts += ["// " + "\n// ".join(textwrap.wrap(t, width)) for t in licenses.TEMPLATES.values()]
+        texts.append(" \u2028\n\n".join(textwrap.wrap(whole, width)))
+    for gap in range(2, 9):  # templates with words left out, doubled or put between
+        kept = [w for i, w in enumerate(whole.split()) if i % gap]
+        texts.append("\n".join(" ".join(kept[i : i + 5]) for i in range(0, len(kept), 5)))
+        texts.append("\n".join(f"{w} x" if i % gap == 0 else w for i, w in enumerate(whole.split())))
+    texts += [" \n".join(draw.permutation(t.split() * 2)) for t in licenses.TEMPLATES.values()]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = {r.doc_id: r for r in licenses.scan_licenses(rows, phrases={"none such": "none"}).collect()}
+    assert len(made) == len(texts)
+    for i, text in enumerate(texts):
+        assert (made[i].labels, made[i].score) == plain_wrapped_license(text), text
+    assert (made[0].labels, made[1].labels, made[2].labels) == ("bsd", "mit-grant", "bsd,mit-grant")
+
+
 def test_licenses_run_no_python(odd_documents):
     plan = licenses.scan_licenses(odd_documents)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
