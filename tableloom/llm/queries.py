@@ -13,13 +13,17 @@ from tableloom.functions.columns import column
 from tableloom.llm.byte_cnn import classify, fit, held_out
 from tableloom.llm.chunks import chunk_tokens, containment, rendered
 from tableloom.llm.fertility import fertility
+from tableloom.llm.impact_index import top_products
 from tableloom.llm.licenses import scan_licenses
 from tableloom.llm.mixing import mix, source_table
 from tableloom.llm.neighbours import map_with_next
+from tableloom.llm.norm_buckets import rank_documents
 from tableloom.llm.packing import pack
+from tableloom.llm.search_oracles import CONVERSATION_TRIE, RANKED_LEXICAL, TOP_PRODUCTS
 from tableloom.llm.tables import load, texts, word_count
 from tableloom.llm.token_files import read_checksums, write_tokens
 from tableloom.llm.transcripts import parse_transcripts
+from tableloom.llm.turn_trie import conversation_trie
 from tableloom.llm.url_rules import HostRule, filter_urls
 from tableloom.llm.weighted_minhash import class_rows, near_duplicates
 from tableloom.session import scratch_path
@@ -156,6 +160,19 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_checksums(spark, files)
 
 
+def top_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    asked = F.col("vec") % 50 == 0
+    return top_products(load(spark, folder, "embeddings"), "vec_id", "embedding", asked, 5)
+
+
+def trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(load(spark, folder, "conversations"))
+
+
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_documents(load(spark, folder, "documents"), load(spark, folder, "benchmark"), 10)
+
+
 QUERIES = {
     "op1_chat_format": chat_format,
     "op2_quality_rules": quality_rules,
@@ -167,6 +184,13 @@ QUERIES = {
     "op8_near_dedup": near_dedup,
     "op9_license_scan": license_scan,
     "op10_token_files": token_files,
+    "op11_top_products": top_vectors,
+    "op12_conversation_trie": trie,
+    "op13_lexical_search": lexical_search,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_top_products": TOP_PRODUCTS,
+    "op12_conversation_trie": CONVERSATION_TRIE,
+    "op13_lexical_search": RANKED_LEXICAL,
+}
