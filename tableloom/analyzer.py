@@ -29,8 +29,10 @@ class Analyzer:
         self.collections: dict[str, tuple[Catalog, str]] = {}
         self.relationships: list[Relationship] = []
 
-    def _add(self, df: DataFrame, name: str, description: str, source: str) -> DataFrame:
-        self.catalog.add(name, df, description, source)
+    def _add(
+        self, df: DataFrame, name: str, description: str, source: str, files: str | None = None
+    ) -> DataFrame:
+        self.catalog.add(name, df, description, source, files)
         return df
 
     def load_csv(
@@ -49,7 +51,7 @@ class Analyzer:
         return self._add(read_excel(self.spark, path), name, description, path)
 
     def load_parquet(self, path: str, name: str, description: str = "") -> DataFrame:
-        return self._add(read_parquet(self.spark, path), name, description, path)
+        return self._add(read_parquet(self.spark, path), name, description, path, files=path)
 
     def load_jdbc(self, url: str, table: str, name: str, description: str = "", **options) -> DataFrame:
         return self._add(
@@ -93,6 +95,7 @@ class Analyzer:
         return catalogs.describe_catalog(self.catalog)
 
     def create_collection(self, names: list[str], name: str, description: str = "") -> Catalog:
+        """Bundle some tables; questions to the collection see these tables only."""
         collection = self.catalog.subset(names)
         self.collections[name] = (collection, description)
         return collection
@@ -126,6 +129,13 @@ class Analyzer:
     def ask_sql(self, query: str, **arguments: object) -> DataFrame:
         return questions.ask_sql(self.catalog, query, **arguments)
 
+    def ask_collection(self, name: str, query: str, **arguments: object) -> DataFrame:
+        """Result of a SQL text over the tables of a collection."""
+        return questions.ask_sql(self.collections[name][0], query, **arguments)
+
+    def tables_used(self, answer_id: str, answer: DataFrame) -> DataFrame:
+        return questions.tables_used(self.catalog, answer_id, answer)
+
     def answer(self, df: DataFrame, order_by: list[str], output_type: str | None = None) -> Answer:
         return answer_auto(df, order_by, output_type)
 
@@ -134,6 +144,8 @@ class Analyzer:
 
     def clear(self) -> None:
         """Start over: no tables, collections or relationships."""
+        for collection, _ in self.collections.values():
+            collection.clear()
         self.catalog.clear()
         self.collections.clear()
         self.relationships.clear()

@@ -107,21 +107,43 @@ def project_rows(df: DataFrame, columns: list[str], order_by: list[str], rows: i
 
 
 def ask_sql(catalog: Catalog, query: str, **arguments: object) -> DataFrame:
-    """Result of a SQL text over the registered tables.
+    """Result of a SQL text over the tables of one catalog or collection.
 
-    ``:name`` markers in the text are filled from ``arguments``.
+    ``:name`` markers in the text are filled from ``arguments``. Views of other
+    catalogs, equal in name or not, are out of reach.
     """
-    return catalog.spark.sql(query, args=arguments or None)
-
-
-def tables_used(
-    catalog: Catalog, answer_id: str, answer: DataFrame, tables: list[str]
-) -> DataFrame:
-    """One row per table an answer used, with the number of rows of the answer."""
-    unknown = [t for t in tables if t not in catalog]
-    if unknown:
-        raise KeyError(f"not in the catalog: {', '.join(unknown)}")
-    names = F.array(*[F.lit(t) for t in tables])
-    return answer.agg(F.count(F.lit(1)).alias("answer_rows")).select(
-        F.lit(answer_id).alias("answer_id"), F.explode(names).alias("table_name"), "answer_rows"
+    return catalog.scope.sql(query, args=arguments or None)
+
+
+def _marks(plan, known: dict[str, str], same: list[tuple[str, object]]) -> set[str]:
+    """Tables below a node of an analysed plan, subqueries included."""
+    if plan.nodeName() == "View":
+        found = known.get(plan.desc().identifier().table())
+        if found is not None:
+            return {found}
+    else:
+        for name, table in same:
+            if plan.sameResult(table):
+                return {name}
+    below: set[str] = set()
+    for nodes in (plan.children(), plan.subqueries()):
+        for i in range(nodes.size()):
+            below |= _marks(nodes.apply(i), known, same)
+    return below
+
+
+def tables_used(catalog: Catalog, answer_id: str, answer: DataFrame) -> DataFrame:
+    """One row per table of the catalog that an answer reads, in the catalog's order.
+
+    The analysed plan tells: it holds a view for every table that a SQL text names,
+    and a table's own plan where an answer was made from its DataFrame. Names that
+    a text uses for anything else do not count. Nothing is run.
+    """
+    plan = answer._jdf.queryExecution().analyzed()
+    known = {table.mark: table.name for table in catalog.tables}
+    same = [(t.name, t.df._jdf.queryExecution().analyzed()) for t in catalog.tables]
+    used = _marks(plan, known, same)
+    return catalog.spark.createDataFrame(
+        [(answer_id, name) for name in catalog.names if name in used],
+        "answer_id string, table_name string",
     )

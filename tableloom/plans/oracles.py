@@ -261,10 +261,12 @@ ORACLES: dict[str, str] = {
     "filtered_count": "SELECT count(*) AS n_rows FROM orders WHERE o_orderstatus = 'F'",
     "project_rows": "SELECT c_name, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 10",
     "ask_sql": ORDERS_BY_SEGMENT,
-    "tables_used": f"""
-        SELECT 'orders-by-segment' AS answer_id, t AS table_name,
-               (SELECT count(*) FROM ({ORDERS_BY_SEGMENT})) AS answer_rows
-        FROM (VALUES ('customer'), ('orders')) AS names(t)
+    "tables_used": """
+        SELECT * FROM (VALUES
+            ('orders-by-segment', 'customer'), ('orders-by-segment', 'orders'),
+            ('suppliers-of-region', 'region'), ('suppliers-of-region', 'nation'),
+            ('suppliers-of-region', 'supplier'), ('renamed-documents', 'documents')
+        ) AS used(answer_id, table_name)
     """,
     "answer_string": """
         SELECT c_custkey, concat_ws(', ', c_custkey, c_name, c_mktsegment) AS line FROM customer

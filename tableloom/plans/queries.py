@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import hashlib
 import hmac
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from tableloom import operators as ops
 from tableloom.plans.tables import DESCRIPTIONS, RELATIONSHIPS, STAR_TABLES, analyzer, load
 from tableloom.session import scratch_path
 from tableloom.sources import file_inventory as list_files
-from tableloom.sources import read_csv, write_csv
+from tableloom.sources import footer_counts, read_csv, write_csv
 
 SALT = "pepper"
 KNOWN_CUSTOMER = "Customer#000000042"
@@ -38,6 +37,22 @@ ORDERS_BY_SEGMENT = """
     GROUP BY c_mktsegment, o_orderstatus
 """
 
+#: Texts that join, look up in subqueries, or use a table's name for something else.
+ASKED = {
+    "orders-by-segment": ORDERS_BY_SEGMENT,
+    "suppliers-of-region": """
+        WITH places AS (
+            SELECT n_nationkey FROM nation
+            WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA'))
+        SELECT count(*) AS n FROM supplier
+        WHERE EXISTS (SELECT 1 FROM places WHERE n_nationkey = s_nationkey)
+    """,
+    "renamed-documents": """
+        WITH orders AS (SELECT doc_id, 'customer' AS word FROM documents)
+        SELECT word, count(*) AS n FROM orders GROUP BY word -- FROM part
+    """,
+}
+
 
 def stored_hash() -> str:
     return hmac.new(SALT.encode(), KNOWN_CUSTOMER.encode(), hashlib.sha256).hexdigest()
@@ -64,15 +79,16 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Each file of the folder with the rows of its table."""
+    """Each file of the folder with the rows that its footer states."""
     counts = [
-        load(spark, folder, name).agg(
-            F.lit(f"{name}.parquet").alias("file_name"), F.count(F.lit(1)).alias("n_rows")
+        footer_counts(spark, f"{folder}/{name}.parquet").select(
+            F.lit(f"{name}.parquet").alias("file_name"), "n_rows"
         )
         for name in DESCRIPTIONS
     ]
     files = list_files(spark, folder).select("file_name", "extension")
-    return files.join(reduce(DataFrame.union, counts), "file_name")
+    # one row per table
+    return files.join(F.broadcast(reduce(DataFrame.unionAll, counts)), "file_name")
 
 
 def infer_types(spark: SparkSession, folder: str) -> DataFrame:
@@ -251,9 +267,10 @@ def ask_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tables_used(spark: SparkSession, folder: str) -> DataFrame:
-    made = analyzer(spark, folder, ["customer", "orders"])
-    answer = made.ask_sql(ORDERS_BY_SEGMENT)
-    return ops.tables_used(made.catalog, "orders-by-segment", answer, ["customer", "orders"])
+    """What each of the texts reads, out of all shared tables."""
+    made = analyzer(spark, folder)
+    answers = [made.tables_used(name, made.ask_sql(text)) for name, text in ASKED.items()]
+    return reduce(DataFrame.unionAll, answers)
 
 
 # Answers

@@ -14,6 +14,7 @@ from tableloom.sources.files import (
     load_multiple_dataframes,
     read_parquet,
 )
+from tableloom.sources.footers import footer_counts
 from tableloom.sources.literals import from_columns
 from tableloom.sources.workbooks import read_excel
 
@@ -22,6 +23,7 @@ __all__ = [
     "LoadError",
     "RaggedRowError",
     "file_inventory",
+    "footer_counts",
     "from_columns",
     "header_names",
     "line_facts",

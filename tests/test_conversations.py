@@ -146,11 +146,11 @@ def test_prompt_and_welcome(spark, sample, customers, log):
     analyzer.load_dataframe(sample, "one")
     assert ops.tables_prompt(log, analyzer.catalog).count() == 0
     single = ops.welcome_message(analyzer.catalog).first().message
-    assert single == "I've analyzed your data from 1 tables: 'one'."
+    assert single == "Tables loaded: 1. Their names: 'one'."
     analyzer.load_dataframe(customers, "two")
     prompt = ops.tables_prompt(log, analyzer.catalog).collect()
     assert len(prompt) == 1
-    assert prompt[0].text.startswith("You have access to 2 tables: 'one', 'two'. When ")
+    assert prompt[0].text.startswith("Tables at hand (2): 'one', 'two'. Draw on ")
     welcome = ops.welcome_message(analyzer.catalog).first().message
     assert welcome.endswith("\n- 'one': 5 rows, 3 columns\n- 'two': 3 rows, 4 columns")
     assert ops.welcome_message(analyzer.catalog, log).count() == 0

@@ -5,16 +5,17 @@ import pytest
 import __spark_entry__ as contract
 from tableloom import operators as ops
 from tableloom.operators.relationships import Relationship
-from tableloom.session import keep_matching
+from tableloom.plans.queries import QUERIES
+from tableloom.session import keep_matching, scratch_path
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_cross_join(spark, folder, name):
-    plan = plan_of(contract.queries()[name](spark, folder))
+    plan = plan_of(QUERIES[name](spark, folder))
     for word in ("ArrowEvalPython", "BatchEvalPython", "InPandas", "CartesianProduct", "NestedLoop"):
         assert word not in plan, word
 
@@ -35,9 +36,14 @@ def test_filters_reach_the_scan(spark, folder):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
 
 
-def test_contexts_leave_the_texts_behind(spark, folder):
-    plan = plan_of(contract.queries()["context_per_question"](spark, folder))
-    assert "text" not in plan.split("FileScan")[1].split("]")[0]
+def test_contexts_read_only_what_they_show(spark):
+    log = scratch_path(spark, "log")
+    spark.createDataFrame(
+        [(1, 0, "user", "q", "text", "x")],
+        "conv_id bigint, turn bigint, role string, text string, type string, extra string",
+    ).write.parquet(log)
+    plan = plan_of(ops.context_per_question(spark.read.parquet(log), 3, with_text=True))
+    assert "ReadSchema: struct<conv_id:bigint,turn:bigint,role:string,text:string>" in plan
 
 
 def test_first_question_shuffles_once(spark, folder):

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tableloom import create_analyzer
@@ -197,10 +198,7 @@ def test_catalog_names_views_and_collections(spark, sample, customers, orders):
     assert values(answer) == [("John Doe", 2)]
     pair = analyzer.create_collection(["my_customers", "orders"], "shop", "customers and orders")
     assert pair.names == ["my_customers", "orders"]
-    used = ops.tables_used(pair, "a1", answer, ["orders"])
-    assert values(used) == [("a1", "orders", 1)]
-    with pytest.raises(KeyError):
-        ops.tables_used(pair, "a1", answer, ["2024-q1"])
+    assert values(ops.tables_used(pair, "a1", answer)) == [("a1", "my_customers"), ("a1", "orders")]
     described = ops.describe_catalog(analyzer.catalog).orderBy("position").collect()
     assert (described[0].description, described[0].n_rows) == ("first quarter", 5)
     empty = create_analyzer(spark)
@@ -212,6 +210,97 @@ def test_catalog_names_views_and_collections(spark, sample, customers, orders):
     assert analyzer.overview().count() == 0
 
 
+def test_two_analyzers_with_one_table_name(spark):
+    first, second = create_analyzer(spark), create_analyzer(spark)
+    first.load_dataframe(spark.range(3), "t")
+    second.load_dataframe(spark.range(7), "t")
+    count = "SELECT count(*) AS n FROM t"
+    answers = [made.ask_sql(count) for made in (first, second)]
+    assert [answer.first().n for answer in answers] == [3, 7]
+    second.clear()
+    assert first.ask_sql(count).first().n == 3
+    with pytest.raises(AnalysisException):
+        second.ask_sql(count)
+    assert "t" not in [view.name for view in spark.catalog.listTables()]
+
+
+def test_a_collection_is_a_scope_of_its_own(spark, customers, orders):
+    analyzer = create_analyzer(spark)
+    analyzer.load_dataframe(customers, "customers")
+    analyzer.load_dataframe(orders, "orders")
+    shop = analyzer.create_collection(["Orders"], "shop")
+    count = "SELECT count(*) AS n FROM orders"
+    assert analyzer.ask_collection("shop", count).first().n == 4
+    with pytest.raises(AnalysisException):
+        analyzer.ask_collection("shop", "SELECT * FROM customers")
+    shop.clear()
+    assert not shop.has_data() and analyzer.ask_sql(count).first().n == 4
+    analyzer.create_collection(["customers"], "people")
+    analyzer.clear()
+    with pytest.raises(AnalysisException):
+        analyzer.ask_sql(count)
+
+
+def test_answers_of_two_scopes_meet_and_settings_carry_over(spark, orders):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        first, second = create_analyzer(spark), create_analyzer(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert first.catalog.scope.conf.get("spark.sql.shuffle.partitions") == "5"
+    first.load_dataframe(orders, "orders")
+    second.load_dataframe(orders.where("amount > 100"), "orders")
+    asked = "SELECT order_id FROM orders"
+    assert first.ask_sql(asked).join(second.ask_sql(asked), "order_id").count() == 3
+
+
+def test_tables_used_by_an_answer(spark, customers, orders, sample):
+    analyzer, other = create_analyzer(spark), create_analyzer(spark)
+    analyzer.load_dataframe(customers, "customers")
+    analyzer.load_dataframe(orders, "2024 orders")
+    analyzer.load_dataframe(sample, "sample")
+    other.load_dataframe(sample.select("A", "B"), "sample")
+
+    def used(answer):
+        return [r.table_name for r in analyzer.tables_used("x", answer).collect()]
+
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("tables-used", "")
+    nested = analyzer.ask_sql(
+        "SELECT (SELECT max(A) FROM sample) AS a FROM customers WHERE EXISTS "
+        "(SELECT 1 FROM t_2024_orders o WHERE o.customer_id = customers.customer_id)"
+    )
+    rows = analyzer.tables_used("x", nested)
+    assert not jobs.getJobIdsForGroup("tables-used")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [r.table_name for r in rows.collect()] == ["customers", "2024_orders", "sample"]
+    assert used(analyzer.ask_sql("WITH sample AS (SELECT 1 AS c) SELECT 'customers' FROM sample")) == []
+    by_hand = analyzer.get_dataframe("customers").join(customers.limit(0), "customer_id")
+    assert used(by_hand) == ["customers"]
+    twice = analyzer.ask_sql("SELECT a.A FROM sample a JOIN sample b ON a.A = b.B")
+    assert used(twice) == ["sample"]
+    assert used(other.ask_sql("SELECT A FROM sample")) == ["sample"]
+    apart = spark.createDataFrame([(1,)], "A bigint")
+    other.load_dataframe(apart, "sample")
+    assert used(other.ask_sql("SELECT A FROM sample_v1")) == []
+
+
+def test_counts_come_from_footers(spark, folder):
+    analyzer = create_analyzer(spark)
+    analyzer.load_parquet(f"{folder}/orders.parquet", "orders")
+    for made in (analyzer.overview(), analyzer.describe(), ops.list_tables(analyzer.catalog)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan and "FileScan" not in plan
+    analyzer.load_dataframe(analyzer.get_dataframe("orders").limit(5), "five")
+    analyzer.load_dataframe(spark.range(0), "none")
+    assert [(r.table_name, r.n_rows) for r in analyzer.overview().orderBy("position").collect()] == [
+        ("orders", 15_000), ("five", 5), ("none", 0),
+    ]
+    listed = ops.list_tables(analyzer.catalog).orderBy("position").collect()
+    assert [r.has_data for r in listed] == [True, True, False]
+
+
 def test_check_relationship(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (9,), (9,), (None,)], "k bigint")
     parent = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "k bigint")
