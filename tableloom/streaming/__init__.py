@@ -1,4 +1,12 @@
-from tableloom.streaming.arrivals import ingest_new_files, stream_csv
-from tableloom.streaming.conversation_state import conversation_state, latest_state, run_state
+from tableloom.streaming.arrivals import arrived, ingest_new_files, split_batch, stream_csv
+from tableloom.streaming.conversation_state import conversation_state, current_state, run_state
 
-__all__ = ["conversation_state", "ingest_new_files", "latest_state", "run_state", "stream_csv"]
+__all__ = [
+    "arrived",
+    "conversation_state",
+    "current_state",
+    "ingest_new_files",
+    "run_state",
+    "split_batch",
+    "stream_csv",
+]
