@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,10 @@ _INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 _DECIMAL = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity)\s*$"
 
 
+#: What is counted of a column to choose its type.
+_COUNTED = ("filled", "boolean", "integer", "fitting", "decimal")
+
+
 @dataclass(frozen=True)
 class ColumnTypes:
     """Chosen type per column plus what the same pass counted."""
@@ -56,7 +60,7 @@ class ColumnTypes:
 
 def na_normalise(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Turn the missing-value words of text columns into nulls."""
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    text = set(_text_columns(df))
     chosen = text if columns is None else text.intersection(columns)
     return df.select(
         *[
@@ -90,34 +94,55 @@ def _choose(rows: int, filled: int, boolean: int, integer: int, fitting: int, de
     return "string"
 
 
+def _text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def _column_counts(c: Column) -> Column:
+    integer = _integer_like(c)
+    return F.struct(
+        F.count(c).alias("filled"),
+        F.count_if(c.isin(*BOOLEAN_WORDS)).alias("boolean"),
+        F.count_if(integer).alias("integer"),
+        F.count_if(integer & _as_bigint(c).isNotNull()).alias("fitting"),
+        F.count_if(c.rlike(_DECIMAL)).alias("decimal"),
+    )
+
+
+def type_counts(names: list[str], extra_counts: dict[str, Column] | None = None) -> list[Column]:
+    """Aggregates that :func:`types_from_counts` chooses from, of one shape for any columns.
+
+    ``extra_counts`` are conditions counted in the same pass.
+    """
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.array(*[_column_counts(column(name)) for name in names]).alias("columns"),
+        *[F.count_if(cond).alias(f"extra_{n}") for n, cond in (extra_counts or {}).items()],
+    ]
+
+
+def types_from_counts(names: list[str], counted: list[tuple[list[str], Row]]) -> dict[str, str]:
+    """Types of columns from the counts of several parts, each with its own order of columns."""
+    rows = sum(row["rows"] for _, row in counted)
+    sums = {name: dict.fromkeys(_COUNTED, 0) for name in names}
+    for order, row in counted:
+        for name, counts in zip(order, row["columns"], strict=True):
+            for kind in _COUNTED:
+                sums[name][kind] += counts[kind]
+    return {name: _choose(rows, *sums[name].values()) for name in names}
+
+
 def infer_schema(df: DataFrame, extra_counts: dict[str, Column] | None = None) -> ColumnTypes:
     """Narrowest type that holds every value of each text column.
 
     Order: boolean, bigint, double, string. ``extra_counts`` are conditions
     counted in the same pass. Columns that are not text keep their type.
     """
-    extra_counts = extra_counts or {}
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    counts = [F.count(F.lit(1)).alias("rows")]
-    for i, name in enumerate(text):
-        c = column(name)
-        integer = _integer_like(c)
-        counts += [
-            F.count(c).alias(f"filled_{i}"),
-            F.count_if(c.isin(*BOOLEAN_WORDS)).alias(f"boolean_{i}"),
-            F.count_if(integer).alias(f"integer_{i}"),
-            F.count_if(integer & _as_bigint(c).isNotNull()).alias(f"fitting_{i}"),
-            F.count_if(c.rlike(_DECIMAL)).alias(f"decimal_{i}"),
-        ]
-    counts += [F.count_if(cond).alias(f"extra_{name}") for name, cond in extra_counts.items()]
-    seen = df.agg(*counts).first().asDict()
+    text = _text_columns(df)
+    seen = df.agg(*type_counts(text, extra_counts)).first()
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    for i, name in enumerate(text):
-        types[name] = _choose(
-            seen["rows"],
-            *(seen[f"{kind}_{i}"] for kind in ("filled", "boolean", "integer", "fitting", "decimal")),
-        )
-    return ColumnTypes(types, seen["rows"], {n: seen[f"extra_{n}"] for n in extra_counts})
+    types |= types_from_counts(text, [(text, seen)])
+    return ColumnTypes(types, seen["rows"], {n: seen[f"extra_{n}"] for n in extra_counts or {}})
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -133,7 +158,7 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
             return (F.lower(c) == "true").alias(name)
         return c
 
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    text = set(_text_columns(df))
     return df.select(*[typed(c, types[c]) if c in text else column(c) for c in df.columns])
 
 

@@ -1,10 +1,12 @@
 from tableloom.sources.databases import partition_options, read_jdbc
 from tableloom.sources.delimited import (
     EmptyFileError,
+    HeaderMismatchError,
     RaggedRowError,
     header_names,
-    line_facts,
     read_csv,
+    read_csv_files,
+    survey_files,
     write_csv,
 )
 from tableloom.sources.files import (
@@ -20,19 +22,21 @@ from tableloom.sources.workbooks import read_excel
 
 __all__ = [
     "EmptyFileError",
+    "HeaderMismatchError",
     "LoadError",
     "RaggedRowError",
     "file_inventory",
     "footer_counts",
     "from_columns",
     "header_names",
-    "line_facts",
     "load_dataframe",
     "load_multiple_dataframes",
     "partition_options",
     "read_csv",
+    "read_csv_files",
     "read_excel",
     "read_jdbc",
     "read_parquet",
+    "survey_files",
     "write_csv",
 ]

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import PurePath
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.functions.names import file_extension, free_name
-from tableloom.sources.delimited import read_csv
+from tableloom.sources.delimited import read_csv, read_csv_files
 from tableloom.sources.workbooks import read_excel
 
 # Messages of a failed load.
@@ -43,6 +46,14 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+#: Errors of a file itself; anything else, such as a lost cluster, is not caught.
+FILE_ERRORS = (ValueError, AnalysisException, PythonException)
+
+
+def _extension(path: str) -> str:
+    return os.path.splitext(path)[1].lower()
+
+
 def load_dataframe(spark: SparkSession, path: str | None) -> tuple[DataFrame | None, str | None]:
     """``(table, None)``, or ``(None, message)`` if the file cannot be loaded.
 
@@ -50,13 +61,49 @@ def load_dataframe(spark: SparkSession, path: str | None) -> tuple[DataFrame | N
     """
     if not path:
         return None, NO_FILE
-    reader = READERS.get(os.path.splitext(path)[1].lower())
+    reader = READERS.get(_extension(path))
     if reader is None:
         return None, UNSUPPORTED
     try:
         return reader(spark, path), None
-    except Exception as error:
+    except FILE_ERRORS as error:
         return None, str(error)
+    except Py4JJavaError as error:
+        found = re.search(r"\[FAILED_READ_FILE[^\n]*", str(error))
+        if found is None:
+            raise
+        return None, found[0]
+
+
+def _missing_path(error: AnalysisException, paths: list[str]) -> str | None:
+    """The one of ``paths`` that an analysis did not find."""
+    if error.getCondition() != "PATH_NOT_FOUND":
+        return None
+    named = error.getMessageParameters()["path"]
+    return next((p for p in paths if named == p or named.split(":", 1)[-1] == p), None)
+
+
+def _load_delimited(
+    spark: SparkSession, paths: list[str]
+) -> dict[str, tuple[DataFrame | None, str | None]]:
+    """Outcomes of delimited files that are loaded together; others are left to be loaded alone."""
+    outcomes: dict[str, tuple[DataFrame | None, str | None]] = {}
+    together = [path for path in dict.fromkeys(paths) if not re.search(r"[*?\[{\\]", path)]
+    while together:
+        try:
+            tables = read_csv_files(spark, together)
+        except AnalysisException as error:
+            missing = _missing_path(error, together)
+            if missing is None:
+                raise
+            outcomes[missing] = None, str(error)
+            together.remove(missing)
+            continue
+        for path, table in tables.items():
+            failed = isinstance(table, ValueError)
+            outcomes[path] = (None, str(table)) if failed else (table, None)
+        break
+    return outcomes
 
 
 def load_multiple_dataframes(
@@ -64,14 +111,18 @@ def load_multiple_dataframes(
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Load files under unique table names.
 
-    ``on_error="partial"`` keeps the good tables and returns the errors.
-    ``on_error="fail"`` raises on any error, and when nothing was loaded.
+    Delimited files are surveyed and typed together. ``on_error="partial"`` keeps
+    the good tables and returns the errors. ``on_error="fail"`` raises on any
+    error, and when nothing was loaded.
     """
     if on_error not in ("partial", "fail"):
         raise ValueError("on_error must be 'partial' or 'fail'")
+    known = _load_delimited(spark, [p for p in paths if p and _extension(p) == ".csv"])
+    alone = [path for path in dict.fromkeys(paths) if path not in known]
     # each load plans and types by itself, so they may wait for the cluster together
     with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
-        outcomes = list(pool.map(lambda path: load_dataframe(spark, path), paths))
+        known |= zip(alone, pool.map(lambda path: load_dataframe(spark, path), alone), strict=True)
+    outcomes = [known[path] for path in paths]
     names = [PurePath(path or "").name for path in paths]
     errors = [
         f"Error loading {name}: {error}"

@@ -10,21 +10,23 @@ import pytest
 from tableloom.session import scratch_path
 from tableloom.sources import (
     EmptyFileError,
+    HeaderMismatchError,
     LoadError,
     RaggedRowError,
     file_inventory,
     from_columns,
     header_names,
-    line_facts,
     load_dataframe,
     load_multiple_dataframes,
     partition_options,
     read_csv,
     read_excel,
     read_parquet,
+    survey_files,
     write_csv,
 )
-from tableloom.sources.delimited import scan_csv
+from tableloom.sources.delimited import LineEndError, scan_csv
+from tableloom.sources.files import READERS
 
 
 def put(folder, name, text):
@@ -138,10 +140,9 @@ def test_columns_with_dots_and_backticks(spark, tmp_path):
         ("a,b\r1,2\r", False),
     ],
 )
-def test_line_facts(spark, tmp_path, text, fits):
-    facts = line_facts(spark, put(tmp_path, "t.csv", text))
-    assert facts.complete is fits
-    assert facts.carriage_returns is ("\r" in text)
+def test_files_whose_rows_keep_to_their_lines(spark, tmp_path, text, fits):
+    facts = survey_files(spark, put(tmp_path, "t.csv", text))
+    assert [(one.names, one.complete) for one in facts] == [(("a", "b"), fits)]
 
 
 @pytest.fixture
@@ -155,51 +156,116 @@ def tiny_splits(spark):
         spark.conf.set(name, value)
 
 
-def random_cell(rnd):
+def random_cell(rnd, breaks):
     kind = rnd.random()
     if kind < 0.3:
         return str(rnd.randint(0, 99))
     if kind < 0.5:
         return ""
-    parts = ["a", "b", "\n", "\r\n", '""', ",", " ", "é"]
+    parts = ["a", "b", *breaks, '""', ",", " ", "é"]
     return '"' + "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 15))) + '"'
 
 
 @pytest.mark.parametrize("line_end", ["\n", "\r\n"])
-@pytest.mark.parametrize("header", ["x,y,z", 'x,"y\ny",z'])
-def test_large_files_are_put_together_from_lines(spark, tmp_path, tiny_splits, line_end, header):
+@pytest.mark.parametrize("breaks", [[], ["\n"]])
+@pytest.mark.parametrize("header", ["x,y,z", 'x,"y\ny",z', '"x""",y,"z,z"'])
+def test_random_files_in_small_splits(spark, tmp_path, tiny_splits, line_end, breaks, header):
     rnd = random.Random(len(line_end + header))
     expected = []
     for name in ("one.csv", "two.csv"):
         lines = [header] + [
-            ",".join(random_cell(rnd) for _ in range(rnd.choice([2, 3, 3]))) for _ in range(80)
+            ",".join(random_cell(rnd, breaks) for _ in range(rnd.choice([2, 3, 3])))
+            for _ in range(80)
         ]
         text = "".join(r + line_end * rnd.choice([1, 1, 2]) for r in lines)
         theirs = pd.read_csv(put(tmp_path, name, text), dtype=str, keep_default_na=False)
         expected += [tuple(v if isinstance(v, str) else "" for v in r) for r in theirs.values]
-    split = scan_csv(spark, str(tmp_path), split_bytes=1)
+    if line_end == "\r\n" and "\n" in header:
+        with pytest.raises(LineEndError):
+            scan_csv(spark, str(tmp_path))
+        return
     assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
-    assert all(row._overflow is None for row in split.collect())
-    got = [tuple(v or "" for v in row) for row in values(split.drop("_overflow"))]
+    rows = scan_csv(spark, str(tmp_path))
+    assert rows.columns[:-1] == list(theirs.columns)
+    assert all(row._overflow is None for row in rows.collect())
+    got = [tuple(v or "" for v in row) for row in values(rows.drop("_overflow"))]
     assert sorted(got) == sorted(expected)
-    whole = [tuple(v or "" for v in row) for row in values(scan_csv(spark, str(tmp_path)))]
-    assert sorted(whole) == sorted((*row, "") for row in expected)
 
 
-@pytest.mark.parametrize(
-    "text",
-    [
-        "a,b\n1,x\n2,y\n",
-        'a,b\n1,"x\ny"\n2,z\n',
-        'a,b\n5" pipe,1\nx,"y\nz"\n',
-        'a,b\r1,2\r3,"x\ry"\r',
-        'a,b\n"x\ny",1,2\n',
-    ],
-)
-def test_large_files_give_the_same_rows(spark, tmp_path, text):
-    path = put(tmp_path, "t.csv", text)
-    whole = values(scan_csv(spark, path))
-    assert values(scan_csv(spark, path, split_bytes=1)) == whole
+def test_a_stray_quote_keeps_to_its_own_file(spark, tmp_path):
+    put(tmp_path, "good.csv", "a,b\n1,2\n")
+    put(tmp_path, "stray.csv", 'a,b\n5" pipe,1\nx,"y\nz"\n')
+    facts = survey_files(spark, str(tmp_path))
+    assert [one.complete for one in facts] == [True, False]
+    assert sorted(values(read_csv(spark, str(tmp_path)))) == [
+        ("1", "2"), ('5" pipe', "1"), ("x", "y\nz"),
+    ]
+
+
+def test_columns_of_several_files_meet_by_name(spark, tmp_path):
+    put(tmp_path, "1.csv", "a,b\n1,x\n2,y\n")
+    put(tmp_path, "2.csv", 'b,a\n"u\nv",20\n')
+    put(tmp_path, "3[x].csv", "b,a\nw,30\n")
+    put(tmp_path, "4.csv", "")
+    df = read_csv(spark, str(tmp_path))
+    assert df.dtypes == [("a", "bigint"), ("b", "string")]
+    assert sorted(values(df)) == [(1, "x"), (2, "y"), (20, "u\nv"), (30, "w")]
+    put(tmp_path, "5.csv", "a,c\n1,2\n")
+    with pytest.raises(HeaderMismatchError, match="a, c"):
+        read_csv(spark, str(tmp_path))
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_the_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    headers = ["a,b", "b,a", "a,b,c d"]
+    paths = [put(tmp_path, f"t {i}.csv", f"{headers[i % 3]}\n{i},x\n") for i in range(144)]
+    few = jobs_of(spark, "few", lambda: load_multiple_dataframes(spark, paths[:-24]))
+    made = {}
+    many = jobs_of(spark, "many", lambda: made.update(load_multiple_dataframes(spark, paths)[0]))
+    assert few == many <= 10 and len(made) == 144
+    assert made["t_7"].dtypes == [("b", "bigint"), ("a", "string")]
+    assert values(made["t_7"]) == [(7, "x")]
+    assert values(made["t_8"]) == [(8, "x", None)]
+
+
+def test_many_paths_with_their_own_errors(spark, tmp_path):
+    (tmp_path / "folder.csv").mkdir()
+    put(tmp_path / "folder.csv", "p1.csv", "a,b\n1,2\n")
+    put(tmp_path / "folder.csv", "p2.csv", "b,a\nx,3\n")
+    (tmp_path / "other.csv").mkdir()
+    put(tmp_path / "other.csv", "p1.csv", "a\n1\n")
+    put(tmp_path / "other.csv", "p2.csv", "b\n1\n")
+    paths = [str(tmp_path / name) for name in ("folder.csv", "missing.csv", "other.csv")]
+    paths += [put(tmp_path, "a b%20.csv", "n\n1\n"), put(tmp_path, "long.csv", "n\n1,2\n")]
+    paths += [paths[3], f"file:{paths[3]}", put(tmp_path, "[x].csv", "n\n1\n"), None]
+    tables, errors = load_multiple_dataframes(spark, paths)
+    assert list(tables) == ["folder", "a_b%20", "a_b%20_v1", "a_b%20_v2"]
+    assert sorted(values(tables["folder"])) == [(1, "2"), (3, "x")]
+    assert [e.split(": ")[0] for e in errors] == [
+        f"Error loading {name}" for name in ("missing.csv", "other.csv", "long.csv", "[x].csv", "")
+    ]
+
+
+def test_a_file_that_is_no_parquet(spark, tmp_path):
+    df, error = load_dataframe(spark, put(tmp_path, "t.parquet", "no parquet"))
+    assert df is None and error
+
+
+def test_other_errors_are_not_taken_for_a_bad_file(spark, monkeypatch):
+    def lost(*_):
+        raise ConnectionError("cluster lost")
+
+    monkeypatch.setitem(READERS, ".parquet", lost)
+    with pytest.raises(ConnectionError):
+        load_dataframe(spark, "t.parquet")
 
 
 def test_csv_round_trip_keeps_awkward_text(spark):
