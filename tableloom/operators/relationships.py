@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.functions.columns import column
+from tableloom.functions.columns import column, quoted
 from tableloom.session import cut_lineage
 
 
@@ -57,6 +57,23 @@ def check_relationship(
     )
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """A column that may take part in a relationship; ``plain`` is its name after the prefix."""
+
+    table: str
+    name: str
+    plain: str
+    kind: str
+
+    @property
+    def agrees_on(self) -> tuple[str, str]:
+        return self.plain, self.kind
+
+    def may_refer_to(self, other: Candidate) -> bool:
+        return self.table != other.table and self.agrees_on == other.agrees_on
+
+
 def _table_prefix(columns: list[str]) -> str:
     """Common start of all column names up to an underscore, such as ``c_``."""
     if len(columns) < 2:
@@ -70,6 +87,68 @@ def _plain_names(df: DataFrame) -> dict[str, str]:
     return {c: c[cut:].lower() for c in df.columns}
 
 
+#: Columns whose ids share one word of a value's bitmap.
+_WORD = 63
+
+
+def comparable_columns(tables: dict[str, DataFrame]) -> list[Candidate]:
+    """Columns of simple types that agree with a column of another table in name and type."""
+    columns = []
+    for table, df in tables.items():
+        plain = _plain_names(df)
+        for field in df.schema.fields:
+            kind = field.dataType.simpleString()
+            if "<" not in kind:
+                columns.append(Candidate(table, field.name, plain[field.name], kind))
+    homes: dict[tuple[str, str], set[str]] = {}
+    for one in columns:
+        homes.setdefault(one.agrees_on, set()).add(one.table)
+    return [one for one in columns if len(homes[one.agrees_on]) > 1]
+
+
+def value_index(tables: dict[str, DataFrame], columns: list[Candidate]) -> tuple[DataFrame, DataFrame]:
+    """Inverted index of all values, and ``col_id, filled`` of the columns.
+
+    A value stands as a 128-bit hash of its type and text, with a bitmap of the
+    columns that hold it: ``word_0``, ``word_1``, ... of 63 columns each. Every
+    table is read once, and bitmaps are combined inside each task, so a value is
+    moved once per task that met it, whatever its length and its partners.
+    """
+    words = range(-(-len(columns) // _WORD))
+    parts, filled = None, None
+    for table in dict.fromkeys(one.table for one in columns):
+        cells = []
+        for i, one in enumerate(columns):
+            if one.table != table:
+                continue
+            text = column(one.name).cast("string")
+            mask = [F.lit(1 << i % _WORD if i // _WORD == w else 0).cast("long") for w in words]
+            cells.append(
+                F.when(
+                    text.isNotNull(),
+                    F.struct(
+                        F.xxhash64(F.lit(one.kind), text).alias("hash_a"),
+                        F.xxhash64(text, F.lit(one.kind)).alias("hash_b"),
+                        *[m.alias(f"word_{w}") for w, m in zip(words, mask, strict=True)],
+                    ),
+                )
+            )
+        part = tables[table].select(F.inline(F.array_compact(F.array(*cells))))
+        parts = part if parts is None else parts.unionAll(part)
+        counts = tables[table].agg(
+            F.map_from_arrays(
+                F.array(*[F.lit(i) for i, one in enumerate(columns) if one.table == table]),
+                F.array(*[F.count(column(one.name)) for one in columns if one.table == table]),
+            ).alias("counts")
+        )
+        count = counts.select(F.explode("counts").alias("col_id", "filled"))
+        filled = count if filled is None else filled.unionAll(count)
+    index = parts.groupBy("hash_a", "hash_b").agg(
+        *[F.bit_or(f"word_{w}").alias(f"word_{w}") for w in words]
+    )
+    return index, filled
+
+
 def suggest_relationships(
     tables: dict[str, DataFrame], min_containment: float = 1.0
 ) -> DataFrame:
@@ -77,99 +156,83 @@ def suggest_relationships(
 
     A pair qualifies if the names agree after the table prefix, the types are
     equal, the parent column is unique, and at least ``min_containment`` of the
-    distinct child values occur in the parent. All values count; none is
-    sampled. Only columns with a name partner are read at all. Values are
-    counted once in long form; a pair is settled by grouping on (pair, value),
-    not by joining columns with each other.
+    distinct child values occur in the parent. All values count; none is sampled.
+
+    An inverted index tells for every value which columns hold it. Values with the
+    same columns are counted together, and only these counts meet in pairs.
     """
     spark = next(iter(tables.values())).sparkSession
-    columns = []
-    for table, df in tables.items():
-        plain = _plain_names(df)
-        for field in df.schema.fields:
-            kind = field.dataType.simpleString()
-            if "<" not in kind:
-                columns.append((table, field.name, plain[field.name], kind))
-    partners = [
-        (child, parent)
-        for child in range(len(columns))
-        for parent in range(len(columns))
-        if columns[child][0] != columns[parent][0] and columns[child][2:] == columns[parent][2:]
-    ]
     result = (
         "child_table string, child_column string, parent_table string, parent_column string, "
         "child_distinct bigint, matched bigint, containment double"
     )
-    used = sorted({i for pair in partners for i in pair})
-    if not used:
+    columns = comparable_columns(tables)
+    if not columns:
         return spark.createDataFrame([], result)
-
-    long_form = None
-    for i in used:
-        table, name = columns[i][:2]
-        part = tables[table].select(
-            F.lit(i).alias("col_id"), column(name).cast("string").alias("value")
+    index, filled = value_index(tables, columns)
+    words = [c for c in index.columns if c.startswith("word_")]
+    patterns = index.groupBy(*words).agg(F.count(F.lit(1)).alias("n_values"))
+    held = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col(words[i // _WORD]).bitwiseAND(F.lit(1 << i % _WORD)) != 0, F.lit(i))
+                for i in range(len(columns))
+            ]
         )
-        long_form = part if long_form is None else long_form.unionAll(part)
-    values = cut_lineage(
-        long_form.where(F.col("value").isNotNull())
-        .groupBy("col_id", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    # One row per column of the schema reaches the driver.
-    stats = {
-        row.col_id: (row.total, row.distinct)
-        for row in values.groupBy("col_id")
-        .agg(F.sum("rows").alias("total"), F.count(F.lit(1)).alias("distinct"))
-        .collect()
-    }
-    unique = {i for i, (total, distinct) in stats.items() if total == distinct}
-    pairs = [(c, p) for c, p in partners if p in unique and c in stats]
-    if not pairs:
-        return spark.createDataFrame([], result)
-
-    # Small literal map: for each column the pairs it takes part in.
-    roles = spark.createDataFrame(
-        [
-            (col_id, pair_id, side == 0)
-            for pair_id, pair in enumerate(pairs)
-            for side, col_id in enumerate(pair)
-        ],
-        "col_id int, pair_id int, is_child boolean",
+    # Pairs of one pattern: as many as columns agree, for each set of columns that has a value.
+    partners = F.create_map(
+        *[
+            part
+            for i, one in enumerate(columns)
+            for part in (
+                F.lit(i),
+                F.array(*[F.lit(j) for j, other in enumerate(columns) if one.may_refer_to(other)]),
+            )
+        ]
+    )
+    listed = patterns.select("n_values", held.alias("held"))
+    pairs = (
+        listed.select("n_values", "held", F.explode("held").alias("child"))
+        .select(
+            "n_values",
+            "child",
+            F.explode(
+                F.concat(F.array(F.col("child")), F.array_intersect("held", partners[F.col("child")]))
+            ).alias("parent"),
+        )
+        .groupBy("child", "parent")
+        .agg(F.sum("n_values").alias("matched"))
+    )
+    # One row per pair of agreeing columns, and per column: bounded by the schemas.
+    met = cut_lineage(pairs)
+    distinct = met.where("child = parent").select("child", F.col("matched").alias("child_distinct"))
+    unique = (
+        distinct.withColumnRenamed("child", "parent")
+        .join(F.broadcast(filled.withColumnRenamed("col_id", "parent")), "parent")
+        .where("filled = child_distinct")
+        .select("parent")
     )
     names = spark.createDataFrame(
-        [
-            (pair_id, *columns[c][:2], *columns[p][:2])
-            for pair_id, (c, p) in enumerate(pairs)
-        ],
-        "pair_id int, child_table string, child_column string, "
-        "parent_table string, parent_column string",
+        [(i, one.table, one.name) for i, one in enumerate(columns)],
+        "col_id int, table_name string, column_name string",
     )
-    return (
-        values.join(F.broadcast(roles), "col_id")
-        .groupBy("pair_id", "value")
-        .agg(
-            F.bool_or("is_child").alias("in_child"),
-            F.bool_or(~F.col("is_child")).alias("in_parent"),
-        )
-        .where("in_child")
-        .groupBy("pair_id")
-        .agg(
-            F.count(F.lit(1)).alias("child_distinct"),
-            F.count_if("in_parent").alias("matched"),
+    side = lambda role: F.broadcast(
+        names.select(
+            F.col("col_id").alias(role),
+            F.col("table_name").alias(f"{role}_table"),
+            F.col("column_name").alias(f"{role}_column"),
         )
+    )
+    return (
+        met.where("child <> parent")
+        .join(F.broadcast(unique), "parent", "left_semi")
+        .join(F.broadcast(distinct), "child")
         .withColumn("containment", F.col("matched") / F.col("child_distinct"))
         .where(F.col("containment") >= min_containment)
-        .join(F.broadcast(names), "pair_id")
-        .select(
-            "child_table",
-            "child_column",
-            "parent_table",
-            "parent_column",
-            "child_distinct",
-            "matched",
-            "containment",
-        )
+        .join(side("child"), "child")
+        .join(side("parent"), "parent")
+        .select(*[part.strip().split(" ")[0] for part in result.split(",")])
     )
 
 
@@ -189,6 +252,61 @@ def duplicated_keys(keys: list[tuple[DataFrame, str]]) -> list[int]:
     return [] if found is None else [row.key_id for row in found.distinct().collect()]
 
 
+@dataclass
+class _Branch:
+    """A table of the join tree, its column names in the result, and the parents it refers to."""
+
+    table: str
+    renamed: dict[str, str]
+    links: list[tuple[str, str, _Branch]]
+
+
+def _join_tree(
+    columns: dict[str, list[str]], start: str, relationships: list[Relationship]
+) -> _Branch:
+    """Tree of the tables reached from ``start``, with the names of all their columns.
+
+    A table reached a second time is a leaf: its parents were followed once.
+    """
+    root = _Branch(start, {c: c for c in columns[start]}, [])
+    first = {start: root}
+    taken = set(columns[start])
+    pending = list(relationships)
+    while any(link.child_table in first for link in pending):
+        for link in list(pending):
+            if link.child_table not in first:
+                continue
+            again = link.parent_table in first
+            prefix = f"{link.child_table}_{link.child_column}" if again else link.parent_table
+            renamed = {
+                c: f"{prefix}_{c}" if again or c in taken else c for c in columns[link.parent_table]
+            }
+            taken |= set(renamed.values())
+            branch = _Branch(link.parent_table, renamed, [])
+            first[link.child_table].links.append((link.child_column, link.parent_column, branch))
+            first.setdefault(link.parent_table, branch)
+            pending.remove(link)
+    if pending:
+        loose = ", ".join(f"{r.child_table}.{r.child_column}" for r in pending)
+        raise ValueError(f"not connected to '{start}': {loose}")
+    return root
+
+
+def _contracted(tables: dict[str, DataFrame], branch: _Branch) -> DataFrame:
+    """A table with all its parents, each joined with its own parents first."""
+    joined = tables[branch.table].select(
+        *[column(c).alias(name) for c, name in branch.renamed.items()]
+    )
+    for child_column, parent_column, parent in branch.links:
+        side = _contracted(tables, parent)
+        joined = joined.join(
+            side,
+            joined[quoted(branch.renamed[child_column])] == side[quoted(parent.renamed[parent_column])],
+            "left",
+        )
+    return joined
+
+
 def auto_join(
     tables: dict[str, DataFrame],
     start: str,
@@ -201,8 +319,11 @@ def auto_join(
     multiply rows and is refused unless ``allow_fan_out``. A parent reached a
     second time gets its columns prefixed with the child's table and column.
     Columns of a parent whose names are already present are prefixed with the
-    parent's name. Spark broadcasts a parent by its measured size and splits
-    skewed partitions of the larger joins.
+    parent's name.
+
+    Branches are joined before the table they hang on, so the rows of ``start`` move
+    once for each parent of its own and not for each ancestor. Spark broadcasts
+    a branch by its measured size and splits skewed partitions of larger joins.
     """
     if not allow_fan_out:
         keys = list(dict.fromkeys((r.parent_table, r.parent_column) for r in relationships))
@@ -210,35 +331,5 @@ def auto_join(
         if repeated:
             listed = ", ".join(f"'{keys[i][0]}.{keys[i][1]}'" for i in repeated)
             raise FanOutError(f"not unique: {listed}")
-    joined = tables[start]
-    visited = {start}
-    # Name of each table's column in the joined frame.
-    present = {start: {c: c for c in joined.columns}}
-    pending = list(relationships)
-    progress = True
-    while pending and progress:
-        progress = False
-        for link in list(pending):
-            if link.child_table not in visited:
-                continue
-            parent = tables[link.parent_table]
-            again = link.parent_table in visited
-            prefix = f"{link.child_table}_{link.child_column}" if again else link.parent_table
-            taken = set(joined.columns)
-            renamed = {c: f"{prefix}_{c}" if again or c in taken else c for c in parent.columns}
-            parent = parent.select(*[column(c).alias(n) for c, n in renamed.items()])
-            joined = joined.join(
-                parent,
-                joined[present[link.child_table][link.child_column]]
-                == parent[renamed[link.parent_column]],
-                "left",
-            )
-            if not again:
-                present[link.parent_table] = renamed
-                visited.add(link.parent_table)
-            pending.remove(link)
-            progress = True
-    if pending:
-        loose = ", ".join(f"{r.child_table}.{r.child_column}" for r in pending)
-        raise ValueError(f"not connected to '{start}': {loose}")
-    return joined
+    tree = _join_tree({name: df.columns for name, df in tables.items()}, start, relationships)
+    return _contracted(tables, tree)

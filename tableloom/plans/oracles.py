@@ -36,7 +36,7 @@ COLUMNS = {
     "conversations": "conv_id turn role text",
 }
 
-# Columns of the star tables that share their name (after the table prefix) and type.
+# Columns of the shared tables that share their name (after the table prefix) and type.
 SHARED_COLUMNS = {
     "custkey": ("customer.c_custkey", "orders.o_custkey"),
     "orderkey": ("orders.o_orderkey", "lineitem.l_orderkey"),
@@ -46,6 +46,8 @@ SHARED_COLUMNS = {
     "regionkey": ("region.r_regionkey", "nation.n_regionkey"),
     "name": ("region.r_name", "nation.n_name", "customer.c_name", "supplier.s_name", "part.p_name"),
     "acctbal": ("customer.c_acctbal", "supplier.s_acctbal"),
+    "doc_id": ("documents.doc_id", "labels.doc_id"),
+    "text": ("documents.text", "benchmark.text", "conversations.text"),
 }
 
 
@@ -209,12 +211,13 @@ ORACLES: dict[str, str] = {
     """,
     "auto_join": """
         SELECT l_orderkey, l_linenumber, l_extendedprice, p_brand, s_name, o_orderstatus,
-               c_name, n_name, r_name
+               c_name, n.n_name, r_name, sn.n_name AS supplier_nation
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
         LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey
         LEFT JOIN customer ON o_custkey = c_custkey
-        LEFT JOIN nation ON c_nationkey = n_nationkey
-        LEFT JOIN region ON n_regionkey = r_regionkey
+        LEFT JOIN nation n ON c_nationkey = n.n_nationkey
+        LEFT JOIN region ON n.n_regionkey = r_regionkey
+        LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey
     """,
     "table_overview": (
         f"WITH {_overview()} SELECT position, table_name, n_rows, n_columns, column_names FROM overview"

@@ -19,7 +19,7 @@ from tableloom.functions import (
     table_name as table_name_of,
 )
 from tableloom import operators as ops
-from tableloom.plans.tables import DESCRIPTIONS, RELATIONSHIPS, STAR_TABLES, analyzer, load
+from tableloom.plans.tables import DESCRIPTIONS, RELATIONSHIPS, analyzer, load
 from tableloom.session import scratch_path
 from tableloom.sources import file_inventory as list_files
 from tableloom.sources import footer_counts, read_csv, write_csv
@@ -155,11 +155,11 @@ def check_relationship(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def suggest_relationships(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.suggest_relationships({t: load(spark, folder, t) for t in STAR_TABLES})
+    return ops.suggest_relationships({t: load(spark, folder, t) for t in DESCRIPTIONS})
 
 
 def auto_join(spark: SparkSession, folder: str) -> DataFrame:
-    tables = {t: load(spark, folder, t) for t in STAR_TABLES}
+    tables = {t: load(spark, folder, t) for t in DESCRIPTIONS}
     return ops.auto_join(tables, "lineitem", RELATIONSHIPS).select(
         "l_orderkey",
         "l_linenumber",
@@ -170,6 +170,7 @@ def auto_join(spark: SparkSession, folder: str) -> DataFrame:
         "c_name",
         "n_name",
         "r_name",
+        F.col("supplier_s_nationkey_n_name").alias("supplier_nation"),
     )
 
 

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as contract
 from tableloom import operators as ops
-from tableloom.operators.relationships import Relationship
+from tableloom.operators.relationships import Relationship, comparable_columns, value_index
 from tableloom.plans.queries import QUERIES
+from tableloom.plans.tables import DESCRIPTIONS, load
 from tableloom.session import keep_matching, scratch_path
 
 
@@ -97,3 +98,25 @@ def test_hot_key_is_split_when_keys_are_too_many_to_broadcast(
     expected = hot_children.where("ref < 30000").count()
     assert len(kept.collect()) == expected
     assert "skew=true" in plan_of(kept)
+
+
+def test_branches_are_joined_before_the_fact(spark, folder, small_thresholds):
+    plan = plan_of(QUERIES["auto_join"](spark, folder))
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "l_orderkey" in line)
+    # what stands above the scan is less and less indented
+    depth, above = lines[scan].index("FileScan"), 0
+    for line in reversed(lines[:scan]):
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            depth, above = at, above + ("Exchange hashpartitioning" in line)
+    assert above == 3
+
+
+def test_values_of_relationships_move_once_and_as_hashes(spark, folder):
+    tables = {t: load(spark, folder, t) for t in DESCRIPTIONS}
+    index, _ = value_index(tables, comparable_columns(tables))
+    plan = plan_of(index)
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "hash_a" in exchanges[0]
+    assert "partial_bit_or" in plan and plan.count("FileScan") == len({c.table for c in comparable_columns(tables)})

@@ -339,6 +339,31 @@ def test_only_true_keys_of_all_shared_tables(spark, folder):
     } == found
 
 
+def test_many_columns_need_several_words(spark):
+    wide = 70
+    parent = spark.createDataFrame(
+        [tuple(range(r, r + wide)) for r in range(3)], [f"k{i}" for i in range(wide)]
+    )
+    child = parent.limit(1).unionByName(parent.limit(1))
+    found = ops.suggest_relationships({"parent": parent, "child": child}).collect()
+    assert {(r.child_table, r.child_column, r.parent_column) for r in found} == {
+        ("child", f"k{i}", f"k{i}") for i in range(wide)
+    }
+    assert {(r.child_distinct, r.matched) for r in found} == {(1, 1)}
+
+
+def test_long_and_hot_values_of_a_relationship(spark):
+    long_text = "x" * 100_000
+    parent = spark.createDataFrame([(long_text,), ("b",), ("",), (None,)], "note string")
+    child = spark.createDataFrame([(long_text,), ("b",), ("",), ("c",), (None,)] * 500, "note string")
+    empty = parent.limit(0)
+    other = spark.createDataFrame([(1,), (2,)], "note bigint")
+    found = ops.suggest_relationships(
+        {"p": parent, "c": child, "e": empty, "o": other}, 0.5
+    ).collect()
+    assert [tuple(r) for r in found] == [("c", "note", "p", "note", 4, 3, 0.75)]
+
+
 def test_auto_join_keeps_children_and_refuses_fan_out(spark, customers, orders):
     lonely = orders.unionByName(
         spark.createDataFrame([(105, 42, "Tool", 1.0, "2023-03-01")], orders.schema)
