@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableloom.functions.columns import column
+from tableloom.functions.columns import column, quoted
 
 #: Values that are sorted in one task; a range with more of them is narrowed first.
 EXACT_VALUES = 20_000
@@ -52,6 +52,11 @@ def _around(share: float) -> list[float]:
     return [max(0.0, share - _MARGIN), min(1.0, share + _MARGIN)]
 
 
+def _number(value: float) -> str:
+    """A double as SQL, infinite ones included."""
+    return f"double('{value!r}')"
+
+
 def _sketch(values: Column) -> Column:
     """Mergeable sketch of the values, or null if there are none."""
     made = F.kll_sketch_agg_double(values, F.lit(_SKETCH_ITEMS))
@@ -79,6 +84,10 @@ class _Target:
         self.sketch: bytes | None = None
         self.value: float | None = None
 
+    @property
+    def text(self) -> str:
+        return quoted(self.name)
+
     @property
     def range_id(self) -> tuple:
         return self.name, self.low, self.high
@@ -87,51 +96,51 @@ class _Target:
     def narrowed_id(self) -> tuple:
         return self.name, *self.proposal
 
+    def _where(self, *conditions: str) -> str:
+        bounds = [f"{self.text} > {_number(self.low)}"] if self.low is not None else []
+        bounds += [f"{self.text} < {_number(self.high)}"] if self.high is not None else []
+        return " AND ".join([*bounds, *conditions])
+
     def in_range(self) -> Column:
-        v = column(self.name)
-        if self.low is not None:
-            v = F.when(column(self.name) > self.low, v)
-        if self.high is not None:
-            v = F.when(column(self.name) < self.high, v)
-        return v
+        return F.expr(f"CASE WHEN {self._where() or 'true'} THEN {self.text} END")
 
     def between(self) -> Column:
-        low, high = self.proposal
-        v = self.in_range()
-        return F.when((v > low) & (v < high), v)
+        low, high = map(_number, self.proposal)
+        inside = self._where(f"{self.text} > {low}", f"{self.text} < {high}")
+        return F.expr(f"CASE WHEN {inside} THEN {self.text} END")
 
     def places(self) -> Column:
-        low, high = self.proposal
-        v = self.in_range()
-        return F.struct(
-            F.count_if(v < low).alias("under_low"),
-            F.count_if(v <= low).alias("to_low"),
-            F.count_if(v < high).alias("under_high"),
-            F.count_if(v <= high).alias("to_high"),
-        )
+        """Values of the range under and up to each proposal; equal proposals are counted once."""
+        counts = [
+            f"count_if({self._where(f'{self.text} {sign} {_number(value)}')})"
+            for value in dict.fromkeys(self.proposal)
+            for sign in ("<", "<=")
+        ]
+        return F.expr(f"array({', '.join(counts)})")
 
     def expected_between(self) -> float:
         return 3 * _MARGIN * self.inside
 
-    def move(self, seen: Row) -> bool:
+    def move(self, places: list[int]) -> bool:
         """Keep the part of the range that holds the rank; tells if it lies between the proposals."""
         low, high = self.proposal
+        under_low, to_low, under_high, to_high = places * (4 // len(places))
         local = self.rank - self.below
-        if seen["under_low"] <= local < seen["to_low"]:
+        if under_low <= local < to_low:
             self.value = low
-        elif seen["under_high"] <= local < seen["to_high"]:
+        elif under_high <= local < to_high:
             self.value = high
-        elif local < seen["under_low"]:
-            self.high, self.inside = low, seen["under_low"]
-        elif local < seen["under_high"]:
+        elif local < under_low:
+            self.high, self.inside = low, under_low
+        elif local < under_high:
             self.low, self.high = low, high
-            self.below += seen["to_low"]
-            self.inside = seen["under_high"] - seen["to_low"]
+            self.below += to_low
+            self.inside = under_high - to_low
             return True
         else:
             self.low = high
-            self.below += seen["to_high"]
-            self.inside -= seen["to_high"]
+            self.below += to_high
+            self.inside -= to_high
         return False
 
     def pick(self, values: list[float]) -> None:
@@ -161,6 +170,8 @@ def _refine(df: DataFrame, targets: list[_Target], bound: int) -> None:
             wanted["values", t.range_id] = F.sort_array(F.collect_list(t.in_range()))
             continue
         wanted["places", t.range_id, t.narrowed_id] = t.places()
+        if t.proposal[0] == t.proposal[1]:
+            continue
         if t.expected_between() <= bound:
             wanted["values", t.narrowed_id] = F.sort_array(F.collect_list(t.between()))
         else:
