@@ -124,16 +124,13 @@ def value_index(tables: dict[str, DataFrame], columns: list[Candidate]) -> tuple
             text = column(one.name).cast("string")
             mask = [F.lit(1 << i % _WORD if i // _WORD == w else 0).cast("long") for w in words]
             cells.append(
-                F.when(
-                    text.isNotNull(),
-                    F.struct(
-                        F.xxhash64(F.lit(one.kind), text).alias("hash_a"),
-                        F.xxhash64(text, F.lit(one.kind)).alias("hash_b"),
-                        *[m.alias(f"word_{w}") for w, m in zip(words, mask, strict=True)],
-                    ),
+                F.struct(
+                    F.when(text.isNotNull(), F.xxhash64(F.lit(one.kind), text)).alias("hash_a"),
+                    F.xxhash64(text, F.lit(one.kind)).alias("hash_b"),
+                    *[m.alias(f"word_{w}") for w, m in zip(words, mask, strict=True)],
                 )
             )
-        part = tables[table].select(F.inline(F.array_compact(F.array(*cells))))
+        part = tables[table].select(F.inline(F.array(*cells))).where("hash_a IS NOT NULL")
         parts = part if parts is None else parts.unionAll(part)
         counts = tables[table].agg(
             F.map_from_arrays(
