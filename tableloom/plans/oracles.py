@@ -178,12 +178,25 @@ ORACLES: dict[str, str] = {
         "'report_' || lower(source) || '.' || lower(lang) AS table_name FROM documents"
     ),
     "unique_table_names": """
-        SELECT doc_id, base_name,
-               base_name || CASE WHEN n = 0 THEN '' ELSE '_v' || n END AS table_name
-        FROM (SELECT doc_id, lower(source || '_' || lang) AS base_name,
-                     row_number() OVER (PARTITION BY lower(source || '_' || lang)
-                                        ORDER BY doc_id) - 1 AS n
-              FROM documents)
+        WITH RECURSIVE files AS (
+          SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id,
+                 lower(source || '_' || lang) || CASE WHEN doc_id % 50 = 7 THEN '_v1_v2'
+                   WHEN doc_id % 9 = 4 THEN '_v' || (doc_id % 23 + 1) ELSE '' END AS base_name
+          FROM documents),
+        counted AS (
+          SELECT *, count(*) OVER (PARTITION BY base_name) + 60 AS most FROM files),
+        named AS (
+          SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS doc_id,
+                 CAST('' AS VARCHAR) AS base_name, CAST('' AS VARCHAR) AS table_name,
+                 CAST([] AS VARCHAR[]) AS used
+          UNION ALL
+          SELECT i, doc_id, base_name, table_name, list_append(used, table_name) FROM (
+            SELECT f.i, f.doc_id, f.base_name, n.used,
+                   CASE WHEN NOT list_contains(n.used, f.base_name) THEN f.base_name
+                     ELSE f.base_name || '_v' || list_filter(range(1, f.most), lambda number:
+                       NOT list_contains(n.used, f.base_name || '_v' || number))[1] END AS table_name
+            FROM named n JOIN counted f ON f.i = n.i + 1))
+        SELECT doc_id, base_name, table_name FROM named WHERE i > 0
     """,
     "describe_catalog": (
         f"WITH {_overview()} SELECT position, table_name, description, n_rows, n_columns FROM overview"

@@ -120,8 +120,16 @@ def table_name(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unique_table_names(spark: SparkSession, folder: str) -> DataFrame:
-    """One file per document, named after its source and language."""
-    file_name = F.concat(F.col("source"), F.lit(" "), F.col("lang"), F.lit(".csv"))
+    """One file per document, named after its source and language.
+
+    Some file names end like generated ones, so they compete for numbers.
+    """
+    version = (
+        F.when(F.col("doc_id") % 50 == 7, "_v1_v2")
+        .when(F.col("doc_id") % 9 == 4, F.concat(F.lit("_v"), F.col("doc_id") % 23 + 1))
+        .otherwise("")
+    )
+    file_name = F.concat(F.col("source"), F.lit(" "), F.col("lang"), version, F.lit(".csv"))
     files = load(spark, folder, "documents").select(
         "doc_id", table_name_of(file_name).alias("base_name")
     )

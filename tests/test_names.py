@@ -1,6 +1,7 @@
 """Table names: derivation, collisions, view names."""
 
 import os
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tableloom.functions import file_extension, file_stem, table_name, view_name
 from tableloom.operators import unique_names
-from tableloom.operators.catalog import safe_view_name
 from tableloom.functions.names import free_name
+from tableloom.operators.catalog import safe_view_name
+from tableloom.operators.unique_names import _Won
 
 FILES = [
     "My Data.csv",
@@ -91,6 +93,39 @@ def test_same_names_as_a_plain_loop(spark, bases, block_rows):
     assert name_all(spark, bases, block_rows=block_rows) == loop(bases)
 
 
+@pytest.mark.parametrize("block_rows", [3, 65_536])
+def test_long_chains_and_many_rivals(spark, block_rows):
+    rnd = random.Random(block_rows)
+    chain = ["c" + "_v1" * depth for depth in range(12)]
+    rivals = [f"x_v{k}" for k in range(1, 60)] + [f"x_v2_v{k}" for k in range(1, 9)]
+    bases = chain * 3 + rivals + ["x"] * 40 + ["x_v2"] * 6 + ["c"] * 5 + ["x_v5_v1_v1", "_v1", "_v1_v1"]
+    for _ in range(2):
+        rnd.shuffle(bases)
+        assert name_all(spark, bases, block_rows=block_rows) == loop(bases)
+
+
+def test_the_jobs_do_not_grow_with_the_chain(spark):
+    def jobs(name, depth):
+        bases = ["c" + "_v1" * d for d in range(depth)] * 2
+        spark.sparkContext.setJobGroup(name, "")
+        try:
+            assert name_all(spark, bases) == loop(bases)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    assert jobs("short", 3) == jobs("long", 30)
+
+
+@given(limits=st.lists(st.integers(-5, 40), max_size=60), start=st.integers(0, 30))
+def test_numbers_won_compose(limits, start):
+    won, number = _Won(), start
+    for limit in limits:
+        won.add(limit)
+        number += number < limit
+    assert won.after(start) == number
+
+
 def test_one_name_for_most_files(spark):
     bases = ["hot"] * 3_000 + [f"cold_{i % 50}" for i in range(1_000)] + ["hot_v7", "hot_v2999"]
     assert name_all(spark, bases, block_rows=128) == loop(bases)
