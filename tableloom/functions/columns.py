@@ -15,6 +15,9 @@ def column(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def money_sum(name: str, scale: int = 2) -> Column:
-    """Sum with ``scale`` exact decimals, so the order of addition cannot matter."""
-    return F.sum(column(name).cast(f"decimal(18,{scale})")).cast("double")
+def money_sum(name: str, scale: int = 12) -> Column:
+    """Sum with ``scale`` exact decimals, so the order of addition cannot matter.
+
+    26 digits stay before the point; a value or a sum beyond them raises.
+    """
+    return F.sum(column(name).cast(f"decimal(38,{scale})")).cast("double")

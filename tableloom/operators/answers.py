@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import column
+from tableloom.functions.names import free_name
 
 DATE_UNITS = ("day", "week", "month", "quarter", "year")
 
@@ -22,10 +23,12 @@ def answer_string(df: DataFrame, order_by: list[str], separator: str = ", ") ->
     """A text of any length: the order columns and a ``line`` for every row.
 
     A line joins the values by ``separator`` and leaves nulls out. The text is the
-    lines in the order of the other columns; it is never gathered in one place.
+    lines in the order of the other columns; it is never gathered in one place. If
+    an order column is itself called ``line``, the text is ``line_1``.
     """
     line = F.concat_ws(separator, *[column(c).cast("string") for c in df.columns])
-    return df.select(*[column(c) for c in order_by if c != "line"], line.alias("line"))
+    name = free_name("line", set(order_by), "_")
+    return df.select(*[column(c) for c in order_by], line.alias(name))
 
 
 def answer_table(df: DataFrame) -> DataFrame:

@@ -7,10 +7,12 @@ import hmac
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableloom import operators as ops
 from tableloom.functions import (
+    NA_TOKENS,
     infer_types as infer_table_types,
     keyed_hash as keyed_hash_of,
     matches_hash,
@@ -18,7 +20,6 @@ from tableloom.functions import (
     na_normalise as normalise_missing,
     table_name as table_name_of,
 )
-from tableloom import operators as ops
 from tableloom.plans.tables import DESCRIPTIONS, RELATIONSHIPS, analyzer, load
 from tableloom.session import scratch_path
 from tableloom.sources import file_inventory as list_files
@@ -97,15 +98,17 @@ def infer_types(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def na_normalise(spark: SparkSession, folder: str) -> DataFrame:
-    """Two of the order priorities are spelled as missing first."""
-    priority = F.col("o_orderpriority")
-    spelled = (
-        F.when(priority == "4-NOT SPECIFIED", "N/A")
-        .when(priority == "5-LOW", "null")
-        .otherwise(priority)
-    )
+    """Every spelling of a missing value stands in some rows of two columns."""
+    words = F.array(*[F.lit(word) for word in NA_TOKENS])
+
+    def spelled(name: str, step: int) -> Column:
+        place = F.col("o_orderkey") % (len(NA_TOKENS) + step)
+        return F.coalesce(F.get(words, place.cast("int")), F.col(name)).alias(name)
+
     orders = load(spark, folder, "orders")
-    return normalise_missing(orders.select("o_orderkey", spelled.alias("o_orderpriority")))
+    return normalise_missing(
+        orders.select("o_orderkey", spelled("o_orderpriority", 4), spelled("o_orderstatus", 9))
+    )
 
 
 def table_name(spark: SparkSession, folder: str) -> DataFrame:

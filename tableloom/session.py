@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.columns import column
 
-#: A side is broadcast only when a bounded probe proves it has at most this many rows.
+#: A side is broadcast only when a bounded probe proves that it has no more rows and bytes.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8 << 20
 
 
 def build_session(cores: int | str = "*", app_name: str = "tableloom") -> SparkSession:
@@ -75,12 +76,14 @@ def keep_matching(
     """Rows of ``df`` whose column ``name`` occurs in column ``key`` of ``keys``.
 
     The distinct keys are broadcast only if a bounded probe proves that there
-    are at most ``rows``. Otherwise both sides are shuffled as they are:
-    adaptive execution splits a hot key only when nothing, not even a distinct,
-    stands between the shuffle and the join.
+    are at most ``rows`` and that their texts have no more than 8 MB. Otherwise both
+    sides are shuffled as they are: adaptive execution splits a hot key only when
+    nothing, not even a distinct, stands between the shuffle and the join.
     """
     listed = keys.select(column(key).alias("_key"))
     distinct = listed.distinct()
-    if distinct.limit(rows + 1).count() <= rows:
+    probe = distinct.limit(rows + 1).select(F.octet_length(F.col("_key").cast("string")).alias("n"))
+    found, size = probe.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if found <= rows and (size or 0) <= BROADCAST_BYTES:
         listed = F.broadcast(distinct)
     return df.join(listed, column(name) == F.col("_key"), "left_semi")

@@ -37,11 +37,11 @@ def sample(spark):
 def customers(spark):
     return spark.createDataFrame(
         [
-            (1, "John Doe", "john@example.com", "USA"),
-            (2, "Jane Smith", "jane@example.com", "Canada"),
-            (3, "Bob Johnson", "bob@example.com", "UK"),
+            (1, "John Doe", "new", "USA"),
+            (2, "Jane Smith", "old", "Canada"),
+            (3, "Bob Johnson", "old", "UK"),
         ],
-        "customer_id bigint, name string, email string, country string",
+        "customer_id bigint, name string, since string, country string",
     )
 
 
@@ -49,10 +49,10 @@ def customers(spark):
 def orders(spark):
     return spark.createDataFrame(
         [
-            (101, 1, "Widget", 100.50, "2023-01-15"),
-            (102, 2, "Gadget", 200.75, "2023-01-20"),
-            (103, 1, "Widget", 50.25, "2023-02-10"),
-            (104, 3, "Tool", 300.00, "2023-02-25"),
+            (101, 1, "lamp", 100.50, "2021-05-03"),
+            (102, 2, "desk", 200.75, "2021-05-30"),
+            (103, 1, "lamp", 50.25, "2021-06-11"),
+            (104, 3, "shelf", 300.00, "2021-06-12"),
         ],
         "order_id bigint, customer_id bigint, product string, amount double, date string",
     )
