@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.llm.tables import keep_rows, texts
-from tableloom.llm.words import Words, gather, words_of
+from tableloom.llm.words import Words, gather, in_pieces, words_of
 
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -104,6 +104,8 @@ def repeated_words(words: Words) -> np.ndarray:
         sums += spread[k : k + n] * np.uint64(factor)
         factor = factor * 0xD6E8FEB86659FD93 % 2**64
     places = np.flatnonzero(first == owners[len(owners) - n :])
+    if not places.size:
+        return np.zeros(len(words.bounds) - 1, np.int64)
     order = np.argsort(sums[places])
     same = np.concatenate([[False], np.diff(sums[places][order]) == 0, [False]])
     suspects = places[order[same[1:] | same[:-1]]]
@@ -196,7 +198,7 @@ def fertility(docs: DataFrame, model_path: str, bands: dict[str, Band] | None =
     limits = bands or BANDS
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, "text"):
             made = judge(batch.column("text"), model_path, limits)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **made})
 

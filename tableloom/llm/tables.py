@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import column
+from tableloom.llm.words import in_pieces
 
 #: Words of the contracts: runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -59,11 +60,10 @@ def with_range(df: DataFrame, key: str, ranges: int, name: str = "_range") -> Da
 
 
 def keep_rows(docs: DataFrame, verdict: Callable[[pa.Array], np.ndarray]) -> DataFrame:
-    """Whole rows of ``docs`` whose text gets True from ``verdict``, which sees a batch of texts."""
-    place = docs.columns.index("text")
+    """Whole rows of ``docs`` whose text gets True from ``verdict``, which sees pieces of a batch."""
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(verdict(batch.column(place)), pa.bool_()))
+        for batch in in_pieces(batches, "text"):
+            yield batch.filter(pa.array(verdict(batch.column("text")), pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)

@@ -43,6 +43,13 @@ def test_rules_equal_plain_counts(odd_documents):
             assert made["byte_share"][i].as_py() == sum(map(model.is_byte, ids)) / len(ids)
 
 
+def test_rules_without_any_window_of_words():
+    for texts in ([], [None], ["short"], ["", None, "a b c"]):
+        made = fertility.judge(pa.array(texts, pa.string()), PIECES, fertility.BANDS)
+        assert list(made["n_words"]) == [len(WORD.findall(t or "")) for t in texts]
+        assert not made["n_repeat_words"].any() and not made["kept"].any()
+
+
 def test_rules_on_odd_rows(odd_documents, no_documents):
     rows = fertility.fertility(odd_documents, PIECES).collect()
     assert len(rows) == 10
