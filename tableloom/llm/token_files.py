@@ -2,41 +2,38 @@
 
 Every id takes the fewest bits that hold the vocabulary. Ids are packed in
 blocks of whole documents; a block row keeps its bit width, the offset of its
-first id within its range of the key, and the lengths of its documents, so a
-reader unpacks any block with numpy alone and reaches any document without
-reading the others. Ranges follow each other in the order of the key. The rows
-are kept in Parquet files, which every store of a cluster can read.
+first id within its range of the key, its least and largest key, and the
+lengths of its documents, so a reader unpacks any block with numpy alone and
+reaches any document without reading the others. Ranges follow each other in the
+order of the key. The rows are kept in Parquet files, which every store of a
+cluster can read.
 """
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm.neighbours import RANGES_PER_PARTITION
-from tableloom.llm.tables import partitions, texts, with_range
-from tableloom.llm.words import gather, words_of
+from tableloom.llm.tables import partitions, texts
+from tableloom.llm.words import gather, in_pieces, words_of
 
 #: A block ends with the document that brings it to so many ids.
 BLOCK_IDS = 8_192
-#: Texts encoded at once; with the bound below it limits what a worker holds.
-TEXTS_AT_ONCE = 3_000
-#: Beyond so many remembered parts a worker starts anew.
-REMEMBERED_PARTS = 400_000
-#: Words of these characters alone are cut into the parts below before encoding.
-PLAIN_WORD = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-#: Fixed value: the vocabulary's own cut, for lower-cased words of those characters.
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Words that a worker remembers before it forgets those not met since it last did.
+REMEMBERED_WORDS = 250_000
+#: Texts or words handed to the library at once, whose token objects then go.
+ENCODED_AT_ONCE = 4_096
 
 BLOCK_SCHEMA = (
-    "range int, block int, bits int, first long, doc_ids array<long>, "
+    "range int, block int, bits int, first long, low long, high long, doc_ids array<long>, "
     "lengths array<long>, payload binary"
 )
 
@@ -72,59 +69,110 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Steps that change no character between words and join none over white space.
+_SAFE_NORMALIZERS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
+_SAFE_CUTS = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+_WHITE = " \t\n\x0b\x0c\r"
+#: One alternative of a pattern: atoms, each a character, an escape or a class, with a repeat.
+_ATOM = regex.compile(r"(\[(?:\\.\{?\w*\}?|[^\]\\])+\]|\\\w\{\w+\}|\\.|[^\\\[\](){}|+*?.^$])([+*?]?)")
+
+
+def _meets_no_white_space(pattern: str) -> bool:
+    """Whether a pattern is plain alternatives none of whose atoms takes white space."""
+    at = 0
+    while at < len(pattern):
+        if pattern[at] == "|":
+            at += 1
+            continue
+        atom = _ATOM.match(pattern, at)
+        if atom is None or any(regex.fullmatch(atom[1], c) for c in _WHITE):
+            return False
+        at = atom.end()
+    return True
+
+
+def _steps(part: dict | None, inner: str) -> list[dict]:
+    if part is None:
+        return []
+    if part["type"] == "Sequence":
+        return [step for one in part[inner] for step in _steps(one, inner)]
+    return [part]
+
+
+def splits_at_white_space(described: dict) -> bool:
+    """Whether the words of a text can be encoded one by one, proven from a tokenizer's description.
+
+    Its normalizers must be known to keep words apart, its first cut must drop all
+    white space, and no added token may hold any.
+    """
+    for step in _steps(described["normalizer"], "normalizers"):
+        blank = step["type"] == "Replace" and step["pattern"] == {"Regex": "\\s+"}
+        if step["type"] not in _SAFE_NORMALIZERS and not (blank and step["content"] == " "):
+            return False
+    cuts = _steps(described["pre_tokenizer"], "pretokenizers")
+    if not cuts:
+        return False
+    first = cuts[0]
+    drops = (
+        first["type"] == "Split"
+        and first["behavior"] == "Removed"
+        and first["invert"]
+        and _meets_no_white_space(first["pattern"].get("Regex", " "))
+    )
+    whole = not any(c in token["content"] for token in described["added_tokens"] for c in _WHITE)
+    return whole and (drops or first["type"] in _SAFE_CUTS)
+
+
 class Encoder:
-    """Ids of texts, word by word: no token of this vocabulary spans white space.
+    """Ids of texts as the library makes them of the whole text.
 
-    A distinct word of a batch is looked up once. Plain words are cut further,
-    where the vocabulary cuts as well, and these parts are remembered. Added tokens
-    are found before that cut, so words that may hold one stay whole.
+    Where the tokenizer is proven to cut at white space, a distinct word is encoded
+    once and remembered. With any other tokenizer the texts are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int):
         self.model = tokenizer(path)
+        self.by_words = splits_at_white_space(json.loads(self.model.to_str()))
         self.bits = bits_for(self.model.get_vocab_size())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.end = np.array([end_id], self.kind)
-        added = [token.content for token in self.model.get_added_tokens_decoder().values()]
-        # in lower case this finds at least every word that holds one; without any, none
-        listed = [re.escape(content.lower()) for content in added]
-        self.added = re.compile("|".join(listed) or "(?!)")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def learn(self, parts: list[str]) -> None:
-        made = self.model.encode_batch_fast(parts, add_special_tokens=False)
-        self.known.update(
-            (part, np.array(one.ids, self.kind).tobytes())
-            for part, one in zip(parts, made, strict=True)
-        )
-
-    def cut(self, word: str) -> list[str]:
-        low = word.lower()
-        if PLAIN_WORD.fullmatch(word) and not self.added.search(low):
-            return PARTS.findall(low)
-        return [word]
+    def made(self, listed: list[str]) -> Iterator[bytes]:
+        for begin in range(0, len(listed), ENCODED_AT_ONCE):
+            some = listed[begin : begin + ENCODED_AT_ONCE]
+            for one in self.model.encode_batch_fast(some, add_special_tokens=False):
+                yield np.array(one.ids, self.kind).tobytes()
 
     def words(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and how many each word has."""
-        cut = [self.cut(word) for word in listed]
-        if len(self.known) > REMEMBERED_PARTS:
-            self.known = {}
-        new = {part for parts in cut for part in parts if part not in self.known}
-        if new:
-            self.learn(list(new))
-        known = self.known
-        joined = [b"".join([known[part] for part in parts]) for parts in cut]
+        if len(self.known) > REMEMBERED_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for word in listed:
+            if word not in known:
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    new.append(word)
+        known.update(zip(new, self.made(new), strict=True))
+        joined = [known[word] for word in listed]
         lengths = np.fromiter(map(len, joined), np.int64, len(joined)) // self.kind.itemsize
         return np.frombuffer(b"".join(joined), self.kind), lengths
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text and the end id, as little-endian integers."""
+        end = self.end.tobytes()
+        if not self.by_words:
+            return [ids + end for ids in self.made([t or "" for t in texts.to_pylist()])]
         words = words_of(texts)
         flat, lengths = self.words(words.listed)
-        ids = gather(flat, lengths, words.codes)
+        ids = gather(flat, lengths, words.codes).tobytes()
         ends = np.concatenate([[0], np.cumsum(lengths[words.codes])])[words.bounds]
-        return [
-            np.concatenate([ids[a:b], self.end]) for a, b in zip(ends, ends[1:], strict=False)
-        ]
+        ends = (ends * self.kind.itemsize).tolist()
+        return [ids[a:b] + end for a, b in zip(ends, ends[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -132,65 +180,48 @@ def encoder(path: str, end_id: int) -> Encoder:
     return Encoder(path, end_id)
 
 
-def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``doc_id``, range and ids of every text as unsigned little-endian integers."""
-    ranged = with_range(
-        texts(docs, "doc_id", "text"),
-        "doc_id",
-        RANGES_PER_PARTITION * partitions(docs.sparkSession),
-        "range",
-    )
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(path, end_id)
-        for batch in batches:
-            for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(first, TEXTS_AT_ONCE)
-                rows = [ids.tobytes() for ids in model.encode(part.column("text"))]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": part.column("doc_id"),
-                        "range": part.column("range"),
-                        "ids": pa.array(rows, pa.binary()),
-                    }
-                )
-
-    return ranged.mapInArrow(encode, "doc_id long, range int, ids binary")
-
-
-def block_rows(kind: np.dtype, bits: int) -> Callable:
-    """Turns sorted rows of ids into block rows."""
+def block_rows(path: str, end_id: int) -> Callable:
+    """Turns the sorted texts of a range into block rows."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = encoder(path, end_id)
         place, block, first, held, size = None, 0, 0, [], 0
         made: list[dict] = []
 
         def close() -> None:
             nonlocal block, first, held, size
             if held:
-                ids = np.frombuffer(b"".join(row[1] for row in held), kind)
-                lengths = [len(row[1]) // kind.itemsize for row in held]
+                ids = np.frombuffer(b"".join(row[1] for row in held), model.kind)
+                keys = [row[0] for row in held]
+                filled = [key for key in keys if key is not None]
                 made.append(
                     {
                         "range": place,
                         "block": block,
-                        "bits": bits,
+                        "bits": model.bits,
                         "first": first,
-                        "doc_ids": [row[0] for row in held],
-                        "lengths": lengths,
-                        "payload": pack(ids, bits),
+                        "low": min(filled, default=None),
+                        "high": max(filled, default=None),
+                        "doc_ids": keys,
+                        "lengths": [len(row[1]) // model.kind.itemsize for row in held],
+                        "payload": pack(ids, model.bits),
                     }
                 )
                 block, first, held, size = block + 1, first + len(ids), [], 0
 
-        for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("range", "doc_id", "ids")]
-            for range_, doc_id, ids in zip(*columns, strict=True):
+        for batch in in_pieces(batches, "text"):
+            rows = zip(
+                batch.column("range").to_pylist(),
+                batch.column("doc_id").to_pylist(),
+                model.encode(batch.column("text")),
+                strict=True,
+            )
+            for range_, doc_id, ids in rows:
                 if range_ != place:
                     close()
                     place, block, first = range_, 0, 0
                 held.append((doc_id, ids))
-                size += len(ids) // kind.itemsize
+                size += len(ids) // model.kind.itemsize
                 if size >= BLOCK_IDS:
                     close()
             if made:
@@ -209,6 +240,8 @@ BLOCK_TYPES = pa.schema(
         ("block", pa.int32()),
         ("bits", pa.int32()),
         ("first", pa.int64()),
+        ("low", pa.int64()),
+        ("high", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
         ("lengths", pa.list_(pa.int64())),
         ("payload", pa.binary()),
@@ -219,17 +252,23 @@ BLOCK_TYPES = pa.schema(
 def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str) -> None:
     """Encode every text, append ``end_id`` and write the files in the order of ``doc_id``.
 
-    A null or empty text is written as the end id alone. Rows of equal
-    ``doc_id`` follow by their ids; null keys come first. Ids are shuffled once.
+    A null or empty text is written as the end id alone. Rows of equal ``doc_id``
+    follow by a hash of their text; null keys come first. A key that many rows have
+    is split between ranges. Texts are shuffled once and encoded where they arrive.
     """
-    bits = bits_for(tokenizer(tokenizer_path).get_vocab_size())
-    kind = np.dtype("<u2" if bits <= 16 else "<u4")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("deal")]
+    rows = texts(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        F.monotonically_increasing_id().alias("deal"),
+    )
     ordered = (
-        encoded(docs, tokenizer_path, end_id)
-        .repartition(partitions(docs.sparkSession), "range")
-        .sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "ids")
+        rows.repartitionByRange(partitions(docs.sparkSession), *order)
+        .withColumn("range", F.spark_partition_id())
+        .sortWithinPartitions(*order)
+        .select("range", "doc_id", "text")
     )
-    ordered.mapInArrow(block_rows(kind, bits), BLOCK_SCHEMA).write.parquet(folder)
+    ordered.mapInArrow(block_rows(tokenizer_path, end_id), BLOCK_SCHEMA).write.parquet(folder)
 
 
 def range_starts(blocks: DataFrame) -> dict[int, int]:
@@ -268,8 +307,12 @@ def read_checksums(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_ids(blocks: DataFrame, doc_id: int) -> np.ndarray:
-    """Random access: the ids of one document, unpacked from its block only."""
-    row = blocks.where(F.array_contains("doc_ids", F.lit(doc_id))).limit(1).collect()
+    """Random access: the ids of one document, unpacked from its block only.
+
+    The least and largest keys of the blocks leave all other blocks unread.
+    """
+    near = blocks.where((F.col("low") <= doc_id) & (F.col("high") >= doc_id))
+    row = near.where(F.array_contains("doc_ids", F.lit(doc_id))).limit(1).collect()
     if not row:
         raise KeyError(doc_id)
     place = row[0]["doc_ids"].index(doc_id)

@@ -2,13 +2,16 @@
 
 import hashlib
 import itertools
+import json
 import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -116,6 +119,55 @@ def test_token_files_find_added_tokens(spark):
     assert model.encode(texts[0], add_special_tokens=False).ids == [518, 806, 49407, 1131]
 
 
+@pytest.mark.parametrize("name, by_words", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_any_tokenizer_gives_the_ids_of_the_whole_text(name, by_words, monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED_WORDS", 50)
+    path = public_tokenizers.path(name)
+    model, encoder = Tokenizer.from_file(path), token_files.Encoder(path, 1)
+    assert encoder.by_words is by_words
+    rnd = np.random.default_rng(3)
+    parts = [" ", "\t", "\n", "\x0b", "\xa0", "\u2003", "a", "Don't", "ÀÉ", "e\u0301", "\u0301", "ΣΑΣ", "漢字", "12", "!?"]
+    parts += ["<|endoftext|>", "<|startoftext|>", "\x1c", "\u200b", "İ", "ß", "\U0001f600", "'s", "_"]
+    texts = ["".join(rnd.choice(parts, rnd.integers(0, 30))) for _ in range(600)] + [None, ""]
+    for begin in range(0, len(texts), 100):
+        made = encoder.encode(pa.array(texts[begin : begin + 100]))
+        for text, ids in zip(texts[begin:], made, strict=False):
+            wanted = model.encode(text or "", add_special_tokens=False).ids + [1]
+            assert np.frombuffer(ids, encoder.kind).tolist() == wanted, text
+
+
+def test_only_proven_tokenizers_are_cut_at_white_space():
+    described = json.loads(Tokenizer.from_file(queries.WORD_PIECES).to_str())
+    assert token_files.splits_at_white_space(described)
+    cut = described["pre_tokenizer"]["pretokenizers"][0]
+    for pattern in (r"\s?\p{L}+", ".+", "[^a]+", "a| b", "(a b)+", r"\W+"):
+        cut["pattern"] = {"Regex": pattern}
+        assert not token_files.splits_at_white_space(described), pattern
+    for pattern in (r"\p{L}+|[0-9]", "'s|[^\\s]+", r"\w+|[^\w\s]+"):
+        cut["pattern"] = {"Regex": pattern}
+        assert token_files.splits_at_white_space(described), pattern
+    described["normalizer"] = {"type": "Prepend", "prepend": "x"}
+    assert not token_files.splits_at_white_space(described)
+
+
+def test_a_hot_key_is_split_and_random_access_reads_one_block(spark):
+    rows = [(7, f"w{i} " * 40) for i in range(3000)] + [(i, "x y") for i in range(8, 3000)]
+    files = scratch_path(spark, "tokens")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    token_files.write_tokens(docs, queries.WORD_PIECES, 1, files)
+    blocks = spark.read.parquet(files)
+    held = blocks.where("low = 7").groupBy("range").count().count()
+    assert held > 2
+    starts = token_files.read_checksums(spark, files).orderBy("start").collect()
+    assert [r.doc_id for r in starts] == sorted(r[0] for r in rows)
+    model = Tokenizer.from_file(queries.WORD_PIECES)
+    assert token_files.document_ids(blocks, 2000).tolist() == model.encode("x y").ids + [1]
+    near = blocks.where((F.col("low") <= 2000) & (F.col("high") >= 2000))
+    assert near.count() == 1
+    with pytest.raises(KeyError):
+        token_files.document_ids(blocks, -1)
+
+
 def plain_classes(docs, factors):
     shingles = near.shingles_of(pa.array([r.text for r in docs]))
     holders, root = defaultdict(list), list(range(len(docs)))
