@@ -6,16 +6,17 @@ consecutive words as the template has, so that wrapped templates are found. One
 pass over the texts finds phrases and the template words that each text holds;
 only texts with enough words of some template are kept for the blocks.
 
-Lines: template words are put in the order of their document frequency
-over all texts, rarest first. A block that holds ``k`` of the ``n`` words of a
-template holds one of its ``n - k + 1`` rarest, so only blocks with such a word
-meet the template; pairs too short or too late in the order to reach ``k`` are
-left out before the words are compared.
-
-Runs: of a kept text only the places of a template's words are looked at. A run
-that holds ``k`` of them can be moved to begin with one, and then the ``k``-th
-from there lies within it; only where that holds are distinct words counted.
-Everything here is DataFrame functions.
+Template words are put in the order of their document frequency over all texts,
+rarest first. A block that holds ``k`` of the ``n`` words of a template holds one
+of its ``n - k + 1`` rarest, so only blocks with such a word meet the template.
+
+Lines: pairs too short or too late in the order to reach ``k`` are left out before
+the words are compared.
+
+Runs: the places of those rarest words are looked up, and for each the places of
+the template's other words less than a run away. Where these are ``k`` at least,
+the runs around the place are counted; each can be moved to begin with a word of
+the template. Everything here is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.llm.tables import texts
+from tableloom.llm.tables import partitions, texts
 from tableloom.session import cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -164,14 +165,25 @@ def word_frequencies(texts_read: DataFrame) -> dict[str, int]:
     return {r["word"]: r["count"] for r in held.groupBy("word").count().collect()}
 
 
-def line_matches(
-    texts_read: DataFrame, sets: Mapping[str, list[str]], containment: float
-) -> DataFrame:
-    """``row``, ``label`` and ``share`` of every line and template that match."""
+def ranks_of(texts_read: DataFrame, sets: Mapping[str, list[str]]) -> dict[str, int]:
+    """Places of all template words in the order of frequency, rarest first."""
     often = word_frequencies(texts_read)
     vocabulary = {word for held in sets.values() for word in held}
     order = sorted(vocabulary, key=lambda word: (often.get(word, 0), word))
-    rank = {word: place for place, word in enumerate(order)}
+    return {word: place for place, word in enumerate(order)}
+
+
+def line_blocks(kept: DataFrame, rank: Mapping[str, int]) -> DataFrame:
+    """``row`` and the template words, rarest first, of every line."""
+    lines = kept.select("row", F.explode(F.split("kept", "\n")).alias("line"))
+    order = listed(sorted(rank, key=rank.get))
+    return lines.select("row", F.array_intersect(order, words(F.col("line"))).alias("held"))
+
+
+def line_matches(
+    blocks: DataFrame, sets: Mapping[str, list[str]], rank: Mapping[str, int], containment: float
+) -> DataFrame:
+    """``row``, ``label`` and ``share`` of every line and template that match."""
     index = []
     for label, held in sets.items():
         ordered = sorted(held, key=rank.get)
@@ -179,13 +191,9 @@ def line_matches(
         for place, word in enumerate(ordered[: len(ordered) - least + 1]):
             index.append((word, place, label, ordered, least))
     # as many rows as the templates have words
-    indexed = texts_read.sparkSession.createDataFrame(
+    indexed = blocks.sparkSession.createDataFrame(
         index, "word string, place int, label string, template array<string>, least int"
     )
-    lines = texts_read.select("row", F.explode(F.split("kept", "\n")).alias("line"))
-    blocks = lines.select(
-        "row", F.array_intersect(listed(order), words(F.col("line"))).alias("held")
-    )
     met = blocks.select("row", "held", F.posexplode("held").alias("at", "word"))
     reach = 1 + F.least(F.size("template") - F.col("place"), F.size("held") - F.col("at")) - 1
     shared = F.size(F.array_intersect("held", "template"))
@@ -197,54 +205,91 @@ def line_matches(
     )
 
 
-def run_matches(
-    texts_read: DataFrame,
+def template_hits(
+    kept: DataFrame,
     sets: Mapping[str, list[str]],
+    rank: Mapping[str, int],
     lengths: Mapping[str, int],
     containment: float,
 ) -> DataFrame:
-    """``row``, ``label`` and ``share`` of every text and template that match in a run.
+    """Texts with each template that they hold enough words of, and the places of these words.
 
-    ``lengths`` are the words of a run. A text meets only templates of which it
-    holds enough words anywhere.
+    ``lengths`` are the words of a run. Words are found by a join, so a text is split
+    once and its words are not compared with every word of every template.
     """
-    known = [
-        F.struct(
-            F.lit(label).alias("label"),
-            listed(held).alias("words"),
-            F.lit(needed(len(held), containment)).alias("least"),
-            F.lit(lengths[label]).alias("length"),
+    spark = kept.sparkSession
+    # as many rows as the templates have words
+    vocabulary = F.broadcast(spark.createDataFrame(list(rank.items()), "word string, rank int"))
+    known = []
+    for label, held in sets.items():
+        ranks = sorted(rank[word] for word in held)
+        least = needed(len(ranks), containment)
+        known.append(
+            F.struct(
+                F.lit(label).alias("label"),
+                F.array(*map(F.lit, ranks)).alias("ranks"),
+                F.lit(ranks[len(ranks) - least]).alias("last_rare"),
+                F.lit(least).alias("least"),
+                F.lit(lengths[label]).alias("length"),
+            )
         )
-        for label, held in sets.items()
-    ]
-    if not known:
-        return texts_read.sparkSession.createDataFrame([], "row long, label string, share double")
+    hits = (
+        kept.select("row", F.posexplode(words(F.col("kept"))).alias("at", "word"))
+        .join(vocabulary, "word")
+        .groupBy("row")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("at", "rank"))).alias("hits"),
+            F.collect_set("rank").alias("held"),
+        )
+    )
     possible = F.filter(
         F.array(*known),
-        lambda one: F.size(F.array_intersect(F.col("held"), one["words"])) >= one["least"],
+        lambda one: F.size(F.array_intersect(F.col("held"), one["ranks"])) >= one["least"],
+    )
+    return hits.select("row", "hits", F.explode(possible).alias("one")).select(
+        "row",
+        "one",
+        F.filter("hits", lambda hit: F.array_contains("one.ranks", hit["rank"])).alias("hits"),
     )
-    met = texts_read.where("kept is not null").select(
-        "row", words(F.col("kept")).alias("words"), F.explode(possible).alias("one")
+
+
+def run_matches(hits: DataFrame) -> DataFrame:
+    """``row``, ``label`` and ``share`` of every text and template that match in a run."""
+    length, least = F.col("one.length"), F.col("one.least")
+    placed = F.transform("hits", lambda hit, i: F.struct(i.alias("i"), hit.alias("hit")))
+    rare = F.filter(placed, lambda place: place["hit"]["rank"] <= F.col("one.last_rare"))
+    # words less than a run away are less than a run's words away among the hits
+    around = F.transform(
+        rare,
+        lambda place: F.struct(
+            place["hit"]["at"].alias("at"),
+            F.slice("hits", F.greatest(place["i"] - length + 2, F.lit(1)), 2 * length - 1).alias(
+                "near"
+            ),
+        ),
     )
-    placed = F.transform("words", lambda word, at: F.struct(at.alias("at"), word.alias("word")))
-    met = met.select(
+    places = hits.select("row", "one", F.inline(around)).select(
         "row",
         "one",
-        F.filter(placed, lambda hit: F.array_contains("one.words", hit["word"])).alias("hits"),
+        "at",
+        F.filter(
+            "near", lambda hit: F.abs(hit["at"] - F.col("at")) < length
+        ).alias("near"),
     )
 
-    def most(hit: Column, place: Column) -> Column:
-        """Distinct words in the run that begins with the hit; 0 if surely too few."""
-        end = hit["at"] + F.col("one.length")
-        last = F.get("hits", place + F.col("one.least") - 1)
-        ahead = F.slice("hits", place + 1, F.col("one.length"))
-        run = F.filter(ahead, lambda other: other["at"] < end)
-        distinct = F.size(F.array_distinct(F.transform(run, lambda other: other["word"])))
-        return F.when(last["at"] < end, distinct).otherwise(0)
-
-    best = met.select("row", "one", F.array_max(F.transform("hits", most)).alias("best"))
-    return best.where(F.col("best") >= F.col("one.least")).select(
-        "row", "one.label", (F.col("best") / F.size("one.words")).alias("share")
+    def distinct(start: Column) -> Column:
+        run = F.filter("near", lambda hit: (hit["at"] >= start["at"]) & (hit["at"] < start["at"] + length))
+        return F.size(F.array_distinct(F.transform(run, lambda hit: hit["rank"])))
+
+    starts = F.filter("near", lambda hit: hit["at"] <= F.col("at"))
+    best = (
+        places.where(F.size("near") >= least)
+        .select("row", "one", F.array_max(F.transform(starts, distinct)).alias("n"))
+        .groupBy("row", "one.label")
+        .agg(F.max(F.struct("n", least.alias("least"), F.size("one.ranks").alias("of"))).alias("best"))
+    )
+    return best.where("best.n >= best.least").select(
+        "row", "label", (F.col("best.n") / F.col("best.of")).alias("share")
     )
 
 
@@ -265,11 +310,21 @@ def scan_licenses(
     rows = texts(docs, "doc_id", "text").select("doc_id", lowered(F.col("text")).alias("low"))
     base = cut_lineage(base_columns(scanned(rows, sets, containment), phrases))
     lengths = {label: len(all_template_words(text)) for label, text in templates.items()}
-    matches = (
-        line_matches(base, sets, containment)
-        .union(run_matches(base, sets, lengths, containment))
-        .groupBy("row")
-        .agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
+    # the few kept texts are dealt evenly, whatever files they came from
+    kept = (
+        base.where("kept IS NOT NULL")
+        .select("row", "kept")
+        .repartition(partitions(docs.sparkSession), "row")
+    )
+    matches = docs.sparkSession.createDataFrame([], "row long, label string, share double")
+    if sets:
+        rank = ranks_of(base, sets)
+        # written out: a filter that reads the split words must not split them again
+        blocks = cut_lineage(line_blocks(kept, rank))
+        hits = cut_lineage(template_hits(kept, sets, rank, lengths, containment))
+        matches = line_matches(blocks, sets, rank, containment).union(run_matches(hits))
+    matches = matches.groupBy("row").agg(
+        F.collect_set("label").alias("found"), F.max("share").alias("share")
     )
     joined = base.drop("held", "kept").join(cut_lineage(matches), "row", "left")
     found = F.coalesce("found", F.array().cast("array<string>"))

@@ -249,6 +249,34 @@ def test_licenses_run_no_python(odd_documents):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def lambdas(plan):
+    """Texts of the lambda functions of a plan."""
+    for begin in re.finditer(r"lambdafunction\(", plan):
+        depth, at = 1, begin.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(plan[at], 0)
+            at += 1
+        yield plan[begin.end() : at]
+
+
+def test_license_texts_are_split_once_and_outside_of_lambdas(spark, odd_documents):
+    sets = {label: licenses.template_words(t) for label, t in licenses.TEMPLATES.items()}
+    lengths = {label: len(licenses.all_template_words(t)) for label, t in licenses.TEMPLATES.items()}
+    rank = {word: i for i, word in enumerate(sorted({w for held in sets.values() for w in held}))}
+    kept = odd_documents.selectExpr("doc_id AS row", "text AS kept")
+    hits = licenses.template_hits(kept, sets, rank, lengths, 0.8)
+    for made in (hits, licenses.line_blocks(kept, rank), licenses.run_matches(hits)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1
+        assert not any("regexp_extract_all" in one for one in lambdas(plan))
+
+
+def test_licenses_without_templates(spark):
+    rows = spark.createDataFrame([(1, "cc by x"), (2, "y")], "doc_id long, text string")
+    made = licenses.scan_licenses(rows, templates={}).orderBy("doc_id").collect()
+    assert [(r.labels, r.score) for r in made] == [("cc-by", 1.0), ("", 0.0)]
+
+
 def test_pieces_hold_every_row_once_in_order():
     listed = [None, "", "a" * (2 * PIECE_BYTES), "b", None, "c" * PIECE_BYTES, ""]
     batches = [
