@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.functions.columns import column
@@ -35,6 +35,14 @@ BANDS, ROWS = 12, 3
 CELL_BITS = 18
 #: Share by which a shingle in one document outweighs one that all documents have.
 IDF_SHARE = 0.2
+#: Rounds in which texts outside the largest class meet a member of it.
+STAR_ROUNDS = 3
+#: Texts, and weight of their shingles, that a task holds to compare others with, about.
+HELD_TEXTS, HELD_WEIGHT = 256, 500_000
+#: Texts that pass by what a task holds, about.
+STRIPE = 2_048
+#: Keys that a task remembers to drop copies.
+REMEMBERED_KEYS = 500_000
 #: Shingles sampled at once, few enough for the cache of a core.
 SLICE = 1 << 14
 
@@ -215,21 +223,80 @@ def similarity(
     return float(shared / total) if total else 1.0
 
 
-def linked(pairs: DataFrame, contents: DataFrame, factors: np.ndarray, least: float) -> DataFrame:
-    """The pairs ``a``, ``b`` of keys whose texts are similar enough."""
-    left = contents.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    right = contents.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+class Held:
+    """Texts that a task keeps, to be compared with many others."""
+
+    def __init__(self, keys: list[str], found: Shingles, factors: np.ndarray):
+        order = np.argsort(found.hashes, kind="stable")
+        sizes = np.diff(found.bounds)
+        weights = found.occurrences * factors[cells(found.hashes)].astype(np.float64)
+        self.keys = np.array(keys)
+        self.hashes = found.hashes[order]
+        self.owners = np.repeat(np.arange(len(keys)), sizes)[order]
+        self.weights = weights[order]
+        self.totals = np.bincount(np.repeat(np.arange(len(keys)), sizes), weights, len(keys))
+
+    def linked(
+        self, keys: list[str], found: Shingles, factors: np.ndarray, least: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a held key and a given one whose texts are similar enough."""
+        n, k = len(keys), len(self.keys)
+        weights = found.occurrences * factors[cells(found.hashes)].astype(np.float64)
+        rows = np.repeat(np.arange(n), np.diff(found.bounds))
+        totals = np.bincount(rows, weights, n)
+        begins = np.searchsorted(self.hashes, found.hashes)
+        often = np.searchsorted(self.hashes, found.hashes, "right") - begins
+        met = np.repeat(np.arange(len(often)), often)
+        at = np.repeat(begins - np.cumsum(often) + often, often) + np.arange(often.sum())
+        least_weights = np.minimum(weights[met], self.weights[at])
+        shared = np.bincount(rows[met] * k + self.owners[at], least_weights, n * k).reshape(n, k)
+        either = totals[:, None] + self.totals - shared
+        b, a = np.nonzero((shared >= least * either) & (either > 0))
+        apart = self.keys[a] != np.array(keys, dtype=object)[b]
+        return a[apart], b[apart]
+
+
+def linked(cell_rows: DataFrame, contents: DataFrame, factors: np.ndarray, least: float) -> DataFrame:
+    """Links ``a``, ``b`` between the held and the other texts of each cell.
+
+    ``cell_rows`` has ``cell``, ``key`` and whether the key is ``held``. A cell holds
+    a bounded number of texts; the others pass by, so a text moves once for each of
+    its cells and not for each of its pairs.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, "text_a", "text_b"):
-            sides = [shingles_of(batch.column(name)) for name in ("text_a", "text_b")]
-            kept = []
-            for i in range(batch.num_rows):
-                kept.append(similarity(*(s.of(i) for s in sides), factors) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(compare, "a string, b string")
+        cell, waiting, held = None, [], None
+        for batch in in_pieces(batches, "text"):
+            cells_ = batch.column("cell").to_numpy()
+            is_held = batch.column("held").to_numpy(zero_copy_only=False)
+            change = np.flatnonzero((np.diff(cells_) != 0) | (np.diff(is_held.astype(int)) != 0)) + 1
+            for begin, end in zip([0, *change], [*change, batch.num_rows], strict=True):
+                part = batch.slice(begin, end - begin)
+                if cells_[begin] != cell:
+                    cell, waiting, held = cells_[begin], [], None
+                if is_held[begin]:
+                    waiting.append(part.select(["key", "text"]))
+                    continue
+                if not waiting:
+                    continue
+                if held is None:
+                    table = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+                    found = shingles_of(table.column("text"))
+                    held = Held(table.column("key").to_pylist(), found, factors)
+                keys = part.column("key").to_pylist()
+                a, b = held.linked(keys, shingles_of(part.column("text")), factors, least)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(held.keys[a].tolist(), pa.string()), part.column("key").take(pa.array(b))],
+                    ["a", "b"],
+                )
+
+    dealt = (
+        cell_rows.join(contents, "key")
+        .select("cell", "held", "key", "text")
+        .repartition("cell")
+        .sortWithinPartitions("cell", F.desc("held"))
+    )
+    return dealt.mapInArrow(compare, "a string, b string")
 
 
 def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -261,72 +328,152 @@ def shared_buckets(spread: DataFrame) -> DataFrame:
     return written.join(cut_lineage(shared.select("bucket")), "bucket", "left_semi")
 
 
-def bucket_members(nodes: DataFrame) -> DataFrame:
-    """``bucket``, ``key``, ``weight`` of the texts that share a pair of bands.
+def band_members(nodes: DataFrame) -> DataFrame:
+    """``bucket``, ``key`` and ``crowd`` of the texts that share a band.
 
-    A text has at most ``BANDS`` bands that others share, so its list is short.
+    The crowd of a text are the members of all its bands. It is largest for texts in
+    the middle of a group, whose bands most others share.
     """
     alone = shared_buckets(nodes.select(F.explode("bands").alias("bucket"), "key"))
-    listed = alone.groupBy("key").agg(F.array_sort(F.collect_list("bucket")).alias("own"))
+    sizes = alone.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    crowds = alone.join(sizes, "bucket").groupBy("key").agg(F.sum("n").alias("crowd"))
+    return cut_lineage(alone.join(crowds, "key").select("bucket", "key", "crowd"))
+
+
+def bucket_members(bands: DataFrame) -> DataFrame:
+    """``bucket``, ``key``, ``crowd`` of the texts that share a pair of bands.
+
+    A text has at most ``BANDS`` bands that others share, so its list is short.
+    """
+    listed = bands.groupBy("key", "crowd").agg(
+        F.array_sort(F.collect_list("bucket")).alias("own")
+    )
     pairs = F.transform(
         "own", lambda x, i: F.transform(F.slice("own", i + 2, BANDS), lambda y: F.xxhash64(x, y))
     )
-    both = listed.select(F.explode(F.flatten(pairs)).alias("bucket"), "key")
-    weights = nodes.select("key", "weight")
-    return cut_lineage(shared_buckets(both).join(weights, "key"))
+    both = listed.select(F.explode(F.flatten(pairs)).alias("bucket"), "key", "crowd")
+    return cut_lineage(shared_buckets(both))
 
 
-def first_pairs(members: DataFrame) -> DataFrame:
-    """Every text with one other: the smallest key of all its buckets."""
-    hubs = cut_lineage(members.groupBy("bucket").agg(F.min("key").alias("hub")))
+def first_hubs(members: DataFrame) -> DataFrame:
+    """Every text ``key`` with one other, ``hub``: the most crowded of all its buckets."""
+    best = F.max(F.struct("crowd", "key"))
+    hubs = cut_lineage(members.groupBy("bucket").agg(best.alias("hub")))
     return (
         members.join(hubs, "bucket")
         .groupBy("key")
-        .agg(F.min("hub").alias("a"))
-        .where("a < key")
-        .select("a", F.col("key").alias("b"))
+        .agg(F.max("hub").alias("hub"))
+        .select("key", F.col("hub.key").alias("hub"))
+        .where("key <> hub")
     )
 
 
-def open_members(members: DataFrame, classes: DataFrame, hubs_done: int) -> DataFrame:
-    """Members with their class, of buckets that hold several classes and untested pairs."""
+def open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members with their class, of buckets that hold several classes."""
     known = classes.withColumnRenamed("key", "k")
     held = cut_lineage(
         members.join(known, F.col("key") == F.col("k"), "left").select(
-            "bucket", "key", "weight", F.coalesce("class", "key").alias("class")
+            *members.columns, F.coalesce("class", "key").alias("class")
         )
     )
     several = (
         held.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi"))
-        .where((F.col("n") > hubs_done + 1) & (F.col("lo") < F.col("hi")))
+        .agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+        .where("lo < hi")
     )
     return cut_lineage(held.join(cut_lineage(several.select("bucket")), "bucket", "left_semi"))
 
 
-def hub_pairs(held: DataFrame, after: int, up_to: int, least: float) -> DataFrame:
-    """Each bucket's members against its hubs: its keys of rank ``after + 1`` to ``up_to``."""
-    order = Window.partitionBy("bucket").orderBy("key")
-    ranked = held.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= up_to)
-    hubs = cut_lineage(
-        ranked.where(F.col("rank") > after).select(
-            "bucket",
-            F.col("key").alias("hub"),
-            F.col("class").alias("hub_class"),
-            F.col("weight").alias("hub_weight"),
-        )
+def main_classes(held: DataFrame, seed: int) -> DataFrame:
+    """Of each bucket its largest class, ``main``, and one member of it, ``rep``."""
+    order = F.xxhash64("key", F.lit(seed))
+    per_class = held.groupBy("bucket", "class").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct(order, "key")).alias("rep")
     )
-    # weighted sets whose totals differ more than this cannot be similar enough
-    lighter, heavier = F.least("weight", "hub_weight"), F.greatest("weight", "hub_weight")
+    return cut_lineage(
+        per_class.groupBy("bucket")
+        .agg(F.max(F.struct("n", "class", "rep.key")).alias("main"))
+        .select("bucket", F.col("main.class").alias("main"), F.col("main.key").alias("rep"))
+    )
+
+
+def further_hubs(held: DataFrame, seed: int) -> DataFrame:
+    """Texts outside the largest class of a bucket with a member of that class."""
+    order = F.xxhash64("rep", F.lit(seed))
     return (
-        held.join(hubs, "bucket")
-        .where((F.col("hub") < F.col("key")) & (F.col("hub_class") != F.col("class")))
-        .where(lighter >= (least - 1e-9) * heavier)
-        .select(F.col("hub").alias("a"), F.col("key").alias("b"))
-        .distinct()
+        held.join(main_classes(held, seed), "bucket")
+        .where("class <> main")
+        .groupBy("key")
+        .agg(F.max(F.struct(order, "rep")).alias("hub"))
+        .select("key", F.col("hub.rep").alias("hub"))
     )
 
 
+def every(count: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+
+
+def hub_cells(pairs: DataFrame) -> DataFrame:
+    """Cells of one hub and some of the texts that it is to be compared with."""
+    written = cut_lineage(pairs)
+    sizes = written.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / STRIPE).alias("stripes"))
+    stripe = F.pmod(F.xxhash64("key"), F.col("stripes"))
+    others = written.join(sizes, "hub").select(
+        F.xxhash64("hub", stripe).alias("cell"), "key", F.lit(False).alias("held")
+    )
+    hubs = sizes.select("hub", every(F.col("stripes")).alias("stripe")).select(
+        F.xxhash64("hub", "stripe").alias("cell"), F.col("hub").alias("key"), F.lit(True).alias("held")
+    )
+    return others.unionAll(hubs)
+
+
+def block_cells(held: DataFrame) -> DataFrame:
+    """Cells that meet every text outside its bucket's largest class with all texts of the bucket.
+
+    The former are dealt to chunks that a task can hold, by number and weight, the
+    latter to stripes, and each chunk meets each stripe.
+    """
+    main = main_classes(held, 0).drop("rep")
+    placed = cut_lineage(held.join(main, "bucket").withColumn("small", F.col("class") != F.col("main")))
+    small_weight = F.sum(F.when(F.col("small"), F.col("weight")).otherwise(0))
+    sizes = placed.groupBy("bucket").agg(
+        F.ceil(
+            F.greatest(F.count_if("small") / HELD_TEXTS, small_weight / HELD_WEIGHT)
+        ).alias("chunks"),
+        F.ceil(F.count(F.lit(1)) / STRIPE).alias("stripes"),
+    )
+    sized = cut_lineage(placed.join(sizes, "bucket").select("bucket", "key", "small", "chunks", "stripes"))
+    chunk = F.pmod(F.xxhash64("key", F.lit(1)), F.col("chunks"))
+    stripe = F.pmod(F.xxhash64("key"), F.col("stripes"))
+    cell = F.xxhash64("bucket", "chunk", "stripe").alias("cell")
+    kept = sized.where("small").select(
+        "bucket", "key", chunk.alias("chunk"), every(F.col("stripes")).alias("stripe")
+    )
+    others = sized.select(
+        "bucket", "key", every(F.col("chunks")).alias("chunk"), stripe.alias("stripe")
+    )
+    return kept.select(cell, "key", F.lit(True).alias("held")).unionAll(
+        others.select(cell, "key", F.lit(False).alias("held"))
+    )
+
+
+def one_a_task(rows: DataFrame) -> DataFrame:
+    """Rows without those whose key the same task has met before, so copies stay where they are."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[str] = set()
+        for batch in batches:
+            kept = []
+            for key in batch.column("key").to_pylist():
+                kept.append(key not in met)
+                met.add(key)
+            if len(met) > REMEMBERED_KEYS:
+                met = set()
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return rows.mapInArrow(first, rows.schema)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` and the ``key`` of the exact text; null is the empty text."""
     rows = texts(docs, "doc_id", "text")
@@ -350,11 +497,12 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> Classes:
     ``doc_id`` keep their own rows. ``class_id`` is the smallest ``doc_id`` of a
     class. Other columns are not read.
 
-    Within a bucket, each text first meets one hub. Then buckets that still hold
-    several classes test all members against further hubs, eight times as many
-    each time, until every pair of a bucket is tested or within one class. Pairs
-    whose total weights alone rule out the similarity are not compared. No group
-    is gathered anywhere, and pairs grow only with members that are not alike.
+    Each text first meets the most crowded text that shares a pair of bands with it.
+    Then, some times over, texts outside the largest class of a bucket meet some
+    member of that class. This joins most of a group at a price of one comparison
+    a text and round. What is still apart, though it shares a pair of bands, is
+    compared completely, in blocks: every text outside the largest class of a band
+    with all texts of that band.
     """
     rows = keyed(docs)
     counts, n_texts = cell_counts(rows)
@@ -368,22 +516,27 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> Classes:
             F.min("weight").alias("weight"),
         )
     )
-    members = bucket_members(nodes)
+    bands = band_members(nodes)
+    members = bucket_members(bands)
     involved = cut_lineage(members.select("key").distinct())
     contents = cut_lineage(
-        rows.select("key", "text").join(involved, "key", "left_semi").dropDuplicates(["key"])
+        one_a_task(rows.select("key", "text"))
+        .join(involved, "key", "left_semi")
+        .dropDuplicates(["key"])
     )
     classes = docs.sparkSession.createDataFrame([], "key string, class string")
-    pairs, hubs_done = first_pairs(members), 0
-    while True:
-        links = cut_lineage(linked(cut_lineage(pairs), contents, factors, least))
-        if not links.isEmpty():
-            classes = merged(classes, links)
-        held = open_members(members, classes, hubs_done)
-        if held.isEmpty():
-            break
-        more = 8 * hubs_done + 7
-        pairs, hubs_done = hub_pairs(held, hubs_done, more, least), more
+
+    def joined(cell_rows: DataFrame) -> DataFrame:
+        links = cut_lineage(linked(cell_rows, contents, factors, least))
+        return classes if links.isEmpty() else merged(classes, links)
+
+    classes = joined(hub_cells(first_hubs(members)))
+    for seed in range(STAR_ROUNDS):
+        classes = joined(hub_cells(further_hubs(open_members(members, classes), seed)))
+    apart = open_members(members, classes).select("key").distinct()
+    near = bands.drop("crowd").join(cut_lineage(apart), "key", "left_semi")
+    weighed = near.join(nodes.select("key", "weight"), "key")
+    classes = joined(block_cells(open_members(weighed, classes)))
     known = classes.withColumnRenamed("key", "k")
     grouped = cut_lineage(
         nodes.drop("bands", "weight")

@@ -197,6 +197,68 @@ def test_near_dedup_equals_all_pairs(spark, folder):
     assert [r.class_id for r in made] == wanted
 
 
+def edited_copies(seed, n):
+    """Copies of one text with random edits: some close to it, some only to others, some to none."""
+    rnd = np.random.default_rng(seed)
+    base = [f"w{i}" for i in rnd.integers(0, 5000, 150)]
+    texts = []
+    for i in range(n):
+        words = list(texts[rnd.integers(0, len(texts))].split()) if texts and i % 3 == 0 else list(base)
+        for at in rnd.integers(0, len(words), rnd.integers(0, 14)):
+            words[at] = f"e{rnd.integers(0, 10**6)}"
+        texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize("held, stripe, rounds", [(256, 2048, 3), (5, 40, 0)])
+def test_large_groups_equal_all_pairs_of_candidates(spark, monkeypatch, held, stripe, rounds):
+    """Texts that share two bands are linked exactly as if all pairs were compared."""
+    for name, value in (("HELD_TEXTS", held), ("STRIPE", stripe), ("STAR_ROUNDS", rounds)):
+        monkeypatch.setattr(near, name, value)
+    texts = edited_copies(1, 250) + edited_copies(2, 60) + ["", "one two"] + ["a b c d e f g"] * 300
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    counts, n = near.cell_counts(table)
+    factors = near.idf_factors(counts, n)
+    shingles = near.shingles_of(pa.array(texts))
+    bands = near.band_hashes(shingles, factors)
+    root, links, similar = list(range(len(texts))), 0, 0
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    distinct = [i for i in range(len(texts)) if texts.index(texts[i]) == i]
+    for i in range(len(texts)):
+        root[i] = texts.index(texts[i])
+    for x, y in itertools.combinations(distinct, 2):
+        if len(shingles.of(x)[0]) and near.similarity(shingles.of(x), shingles.of(y), factors) >= 0.8:
+            similar += 1
+            if (bands[x] == bands[y]).sum() >= 2:
+                links += 1
+                a, b = sorted((find(x), find(y)))
+                root[b] = a
+    wanted = [find(i) for i in range(len(texts))]
+    assert links >= 0.99 * similar and len({find(i) for i in distinct}) > 20
+    made = near.class_rows(near.near_duplicates(table)).orderBy("doc_id").collect()
+    assert [r.class_id for r in made] == wanted
+
+
+def test_held_texts_are_compared_as_pairs():
+    texts = edited_copies(3, 40) + ["", "a b", "a b", None]
+    factors = np.random.default_rng(0).uniform(1, 1.2, 1 << near.CELL_BITS).astype(np.float32)
+    shingles = near.shingles_of(pa.array(texts))
+    keys = [str(i) for i in range(len(texts))]
+    a, b = near.Held(keys, shingles, factors).linked(keys, shingles, factors, 0.8)
+    wanted = {
+        (x, y)
+        for x, y in itertools.permutations(range(len(texts)), 2)
+        if len(shingles.of(x)[0])
+        and near.similarity(shingles.of(x), shingles.of(y), factors) >= 0.8
+    }
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == wanted
+
+
 def test_near_dedup_on_odd_rows(odd_documents, no_documents):
     found = near.near_duplicates(odd_documents)
     made = sorted(map(tuple, near.class_rows(found).collect()), key=str)
