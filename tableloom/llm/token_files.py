@@ -12,9 +12,11 @@ cluster can read.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from tableloom.llm.words import gather, in_pieces, words_of
 #: A block ends with the document that brings it to so many ids.
 BLOCK_IDS = 8_192
 #: Words that a worker remembers before it forgets those not met since it last did.
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 600_000
 #: Texts or words handed to the library at once, whose token objects then go.
 ENCODED_AT_ONCE = 4_096
 
@@ -66,6 +68,8 @@ def unpack(payload: bytes, bits: int, first: int, n: int) -> np.ndarray:
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    # a task has one core; without this the library starts a thread for every core of the machine
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Tokenizer.from_file(path)
 
 
@@ -99,6 +103,15 @@ def _steps(part: dict | None, inner: str) -> list[dict]:
     return [part]
 
 
+def own_cut(described: dict) -> str | None:
+    """Pattern of the parts that a tokenizer cuts first, if it is one that takes no white space."""
+    first = next(iter(_steps(described["pre_tokenizer"], "pretokenizers")), {"type": None})
+    if first["type"] != "Split" or first["behavior"] != "Removed" or not first["invert"]:
+        return None
+    pattern = first["pattern"].get("Regex", " ")
+    return pattern if _meets_no_white_space(pattern) else None
+
+
 def splits_at_white_space(described: dict) -> bool:
     """Whether the words of a text can be encoded one by one, proven from a tokenizer's description.
 
@@ -113,12 +126,11 @@ def splits_at_white_space(described: dict) -> bool:
     if not cuts:
         return False
     first = cuts[0]
-    drops = (
-        first["type"] == "Split"
-        and first["behavior"] == "Removed"
-        and first["invert"]
-        and _meets_no_white_space(first["pattern"].get("Regex", " "))
-    )
+    drops = own_cut(described) is not None
+    for step in cuts[1:]:
+        adds = step["type"] == "ByteLevel" and (step["add_prefix_space"] or step["use_regex"])
+        if adds or step["type"] not in ("ByteLevel", "Digits", "Punctuation"):
+            return False
     whole = not any(c in token["content"] for token in described["added_tokens"] for c in _WHITE)
     return whole and (drops or first["type"] in _SAFE_CUTS)
 
@@ -136,31 +148,15 @@ class Encoder:
         self.bits = bits_for(self.model.get_vocab_size())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.end = np.array([end_id], self.kind)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = Remembered(REMEMBERED_WORDS)
 
     def made(self, listed: list[str]) -> Iterator[bytes]:
         for begin in range(0, len(listed), ENCODED_AT_ONCE):
             some = listed[begin : begin + ENCODED_AT_ONCE]
-            for one in self.model.encode_batch_fast(some, add_special_tokens=False):
-                yield np.array(one.ids, self.kind).tobytes()
-
-    def words(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the words, and how many each word has."""
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
-        for word in listed:
-            if word not in known:
-                if word in older:
-                    known[word] = older[word]
-                else:
-                    new.append(word)
-        known.update(zip(new, self.made(new), strict=True))
-        joined = [known[word] for word in listed]
-        lengths = np.fromiter(map(len, joined), np.int64, len(joined)) // self.kind.itemsize
-        return np.frombuffer(b"".join(joined), self.kind), lengths
+            ids = [one.ids for one in self.model.encode_batch_fast(some, add_special_tokens=False)]
+            ends = np.cumsum([0, *map(len, ids)]) * self.kind.itemsize
+            flat = np.fromiter(chain.from_iterable(ids), self.kind, ends[-1] // self.kind.itemsize)
+            yield from _sliced(flat.tobytes(), ends)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text and the end id, as little-endian integers."""
@@ -168,11 +164,38 @@ class Encoder:
         if not self.by_words:
             return [ids + end for ids in self.made([t or "" for t in texts.to_pylist()])]
         words = words_of(texts)
-        flat, lengths = self.words(words.listed)
+        made = self.known.of(words.listed, self.made)
+        lengths = np.fromiter(map(len, made), np.int64, len(made)) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(made), self.kind)
         ids = gather(flat, lengths, words.codes).tobytes()
         ends = np.concatenate([[0], np.cumsum(lengths[words.codes])])[words.bounds]
-        ends = (ends * self.kind.itemsize).tolist()
-        return [ids[a:b] + end for a, b in zip(ends, ends[1:], strict=False)]
+        return [one + end for one in _sliced(ids, ends * self.kind.itemsize)]
+
+
+class Remembered:
+    """Ids by text. Beyond ``most`` texts those go that were not met since that last happened."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.now: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def of(self, listed: list[str], make: Callable[[list[str]], Iterator[bytes]]) -> list[bytes]:
+        if len(self.now) > self.most:
+            self.now, self.older = {}, self.now
+        now, older = self.now, self.older
+        new = [text for text in listed if text not in now]
+        if older:
+            now.update((text, older[text]) for text in new if text in older)
+            new = [text for text in new if text not in now]
+        if new:
+            now.update(zip(new, make(new), strict=True))
+        return [now[text] for text in listed]
+
+
+def _sliced(data: bytes, ends: np.ndarray) -> Iterator[bytes]:
+    ends = ends.tolist()
+    return (data[a:b] for a, b in zip(ends, ends[1:], strict=False))
 
 
 @lru_cache(maxsize=2)
