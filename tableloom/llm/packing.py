@@ -1,6 +1,7 @@
 """Best-fit packing of documents into sequences, with conflicts.
 
-No sequence holds two documents of one source or of one cluster of duplicates.
+A document's size and the capacity count words. No sequence holds two documents
+of one source or of one cluster of duplicates.
 Bins are ordered by what they have left and carry bitmaps of their sources and
 clusters. A piece goes to the fullest bin that has room and no conflict: the
 search starts at the first bin with enough left and goes on to its successors
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tableloom.session import cut_lineage
 
+#: Words of a sequence.
 CAPACITY = 2_048
 #: Pieces of a shard on average; bounds what a task holds.
 SHARD_PIECES = 4_096
@@ -65,8 +67,8 @@ def pieces(docs: DataFrame, capacity: int) -> DataFrame:
     parts = F.greatest(F.ceil(F.col("_size") / capacity), F.lit(1))
     cut = docs.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     first = F.col("piece") * capacity
-    return cut.withColumn("first_token", first).withColumn(
-        "n_tokens", F.least(F.lit(capacity), F.col("_size") - first)
+    return cut.withColumn("first_word", first).withColumn(
+        "n_words", F.least(F.lit(capacity), F.col("_size") - first)
     )
 
 
@@ -76,7 +78,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ``docs`` has ``doc_id``, ``_size``, ``_source`` and ``_cluster``. A null source
     or cluster conflicts with nothing. Pieces of a document share its
     cluster, so they never meet; repeated rows are packed like any others. Returns
-    ``doc_id``, ``piece``, ``first_token``, ``n_tokens``, ``bin`` and ``offset``.
+    ``doc_id``, ``piece``, ``first_word``, ``n_words``, ``bin`` and ``offset``.
 
     Rows are dealt evenly whatever their keys are, so a hot source or
     cluster spreads over all shards.
@@ -85,8 +87,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         pieces(docs, capacity).select(
             F.col("doc_id").cast("long"),
             "piece",
-            "first_token",
-            F.col("n_tokens").cast("long"),
+            "first_word",
+            F.col("n_words").cast("long"),
             "_source",
             "_cluster",
         )
@@ -98,21 +100,21 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if not listed:
             return
         frame = pd.concat(listed, ignore_index=True)
-        named = ["n_tokens", "_cluster", "_source", "doc_id", "piece"]
+        named = ["n_words", "_cluster", "_source", "doc_id", "piece"]
         frame = frame.sort_values(named, ignore_index=True)
         keys = [
             [None if pd.isna(value) else value for value in frame[name]]
             for name in ("_source", "_cluster")
         ]
-        placed = best_fit(frame["n_tokens"].tolist(), *keys, capacity)
+        placed = best_fit(frame["n_words"].tolist(), *keys, capacity)
         shard = TaskContext.get().partitionId()
         frame["bin"] = [(shard << 32) | number for number, _ in placed]
         frame["offset"] = [offset for _, offset in placed]
-        yield frame[["doc_id", "piece", "first_token", "n_tokens", "bin", "offset"]].astype(
+        yield frame[["doc_id", "piece", "first_word", "n_words", "bin", "offset"]].astype(
             {"doc_id": "Int64"}
         )
 
     return rows.repartition(shards).mapInPandas(
         packed,
-        "doc_id long, piece long, first_token long, n_tokens long, bin long, offset long",
+        "doc_id long, piece long, first_word long, n_words long, bin long, offset long",
     )

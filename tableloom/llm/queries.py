@@ -77,14 +77,14 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame) -> DataFrame:
-    """Documents packed by words; equal texts are a cluster."""
+    """Documents packed by words; equal texts with words are a cluster."""
     rows = texts(docs, "doc_id", "text", "source")
     return pack(
         rows.select(
             "doc_id",
             word_count(F.col("text")).alias("_size"),
             F.col("source").alias("_source"),
-            F.md5(F.coalesce("text", F.lit(""))).alias("_cluster"),
+            F.when(word_count(F.col("text")) > 0, F.md5("text")).alias("_cluster"),
         )
     )
 

@@ -15,8 +15,7 @@ from __future__ import annotations
 
 import json
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import groupby
 
@@ -158,7 +157,11 @@ def viterbi(
     return states[::-1]
 
 
-def sorted_segments(conversations: DataFrame) -> DataFrame:
+def every_one(conv: int | None) -> bool:
+    return True
+
+
+def sorted_segments(conversations: DataFrame, learned: Callable) -> DataFrame:
     """Segments in ranges of conversation and turn, and one summary of each range.
 
     Equal rows are told apart by their row number, so no key makes a range
@@ -183,6 +186,8 @@ def sorted_segments(conversations: DataFrame) -> DataFrame:
         here, place = TaskContext.get().partitionId(), 0
         counts, ends, before = Counts(), [], None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             columns = [batch.column(n).to_pylist() for n in ("conv_id", "turn", "role", "text")]
             made = []
             for conv, turn, role, text in zip(*columns, strict=True):
@@ -190,7 +195,7 @@ def sorted_segments(conversations: DataFrame) -> DataFrame:
                 known = ROLES.index(role) if role in ROLES else None
                 if not ends:
                     ends = [[conv, known, codes]] * 2
-                elif known is not None and learned_from(conv):
+                elif known is not None and learned(conv):
                     same = before[0] == conv
                     if not same or before[1] is not None:
                         counts.add(before[1] if same else None, known, codes)
@@ -232,12 +237,7 @@ TYPES = [
 ]
 
 
-def learned_from(conv: int | None) -> bool:
-    """Conversations whose hashed number leaves 1 when divided by 3 are never learned from."""
-    return zlib.crc32(str(conv).encode()) % 3 != 1
-
-
-def fit(segments: DataFrame) -> Model:
+def fit(segments: DataFrame, learned: Callable) -> Model:
     """Counts of all segments with a known role, joined across the borders of ranges."""
     rows = segments.where("summary is not null").select("range", "summary").collect()
     total, before = Counts(), None
@@ -247,7 +247,7 @@ def fit(segments: DataFrame) -> Model:
             Counts(*(np.array(held[name]) for name in ("first", "after", "kinds")))
         )
         (conv, role, codes), last = held["ends"]
-        if role is not None and learned_from(conv):
+        if role is not None and learned(conv):
             same = before is not None and before[0] == conv
             if not same or before[1] is not None:
                 total.add(before[1] if same else None, role, codes)
@@ -320,7 +320,9 @@ def chained(effects: list[dict]) -> dict[int, tuple[int | None, int | None]]:
     return found
 
 
-def parse_transcripts(conversations: DataFrame) -> DataFrame:
+def parse_transcripts(
+    conversations: DataFrame, learned: Callable[[int | None], bool] = every_one
+) -> DataFrame:
     """Turns of every transcript with the recovered role and canonical rendering.
 
     Reads ``conv_id``, ``turn`` (order of the segments), ``text`` and, to learn from
@@ -331,10 +333,11 @@ def parse_transcripts(conversations: DataFrame) -> DataFrame:
     the first line if the turn continues. Null texts count as one empty line.
     Null conversations are one conversation, null turns come first, segments of
     equal turn follow by the hash of their text, and repeated rows stay.
-    Without known roles all counts are alike and markers alone decide.
+    Without known roles all counts are alike and markers alone decide. All known
+    roles are learned from; ``learned`` may keep conversations out, to test the model.
     """
-    segments = sorted_segments(conversations)
-    model = fit(segments)
+    segments = sorted_segments(conversations, learned)
+    model = fit(segments, learned)
     effects = range_effects(segments, model)
     crossing = chained(effects)
     last_runs = {held["range"]: held["runs"] - 1 for held in effects}
