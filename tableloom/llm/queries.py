@@ -92,9 +92,7 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 def mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     taken, plan = mix(mixing_rows(docs, column("doc_id").alias("doc_id")))
-    # one row per source, bounded by the patterns that a plan allows
-    sources = F.broadcast(source_table(spark, plan))
-    return taken.join(sources, "_pattern").select(
+    return taken.join(source_table(plan), "_pattern").select(
         "doc_id",
         F.col("_size").alias("size"),
         "source_size",
