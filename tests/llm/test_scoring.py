@@ -6,6 +6,7 @@ import textwrap
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import pytest
 import sentencepiece
 
 from tableloom.llm import byte_cnn, fertility, licenses, url_rules
@@ -153,10 +154,63 @@ def test_urls_equal_all_rules_on_every_url(spark, folder):
         assert (r.host, r.path, r.rule, r.verdict) == plain_url(given[r.page_id]), given[r.page_id]
 
 
-def test_pattern_index_files_under_the_rarest_token():
-    rule = url_rules.PatternRule("r", "block", "cheap-pills", ("cheap", "pills"))
-    index = url_rules.PatternIndex([rule], {"cheap": 5, "pills": 2})
-    assert list(index.by_token) == ["pills"]
+def test_pattern_index_files_under_the_rarest_literal():
+    rule = url_rules.PatternRule("r", "block", r"\bcheap-pills\b")
+    index = url_rules.PatternIndex([rule], {(0, "cheap"): 5, (0, "pills"): 2})
+    assert list(index.by_literal) == [(url_rules.WHOLE, "pills")]
+
+
+def test_literals_of_parsed_patterns():
+    w, start, end, inside = range(4)
+    found = {
+        r"\bcheap-pills\b": [{(w, "cheap"), (w, "pills")}],
+        r"casino": [{(inside, "casino")}],
+        r"/casino": [{(start, "casino")}],
+        r"casino\.": [{(end, "casino")}],
+        r"//mirror[0-9]*\.": [{(w, "mirror")}, {(start, "mirror")}],
+        r"\b(?:a|bc)\b": [{(w, "a")}, {(w, "bc")}],
+        r"\b(online-)?casino\b": [{(w, "casino")}, {(w, "online"), (w, "casino")}],
+        r"/(.*/)?login\b": [{(w, "login")}] * 3,
+        r"free[-/]x{2,}y?$": [{(end, "free"), (start, "x")}, {(end, "free"), (start, "x"), (end, "y")}],
+        r"[a-z]+": [set()],
+        r"a|[0-9]+": [{(inside, "a")}, set()],
+    }
+    for pattern, wanted in found.items():
+        assert url_rules.literals(pattern) == wanted, pattern
+    with pytest.raises(ValueError):
+        url_rules.PatternIndex([url_rules.PatternRule("any", "block", "x|[0-9]+")], {})
+
+
+def test_thousands_of_rules_meet_few_urls():
+    rnd = np.random.default_rng(9)
+    words = ["".join(rnd.choice(list("abcdefg"), rnd.integers(2, 6))) for _ in range(1500)]
+    shapes = [
+        r"\b{a}-{b}\b", r"//[^/]*\b({a}-)?{b}\b", r"/{a}[0-9]*\.", r"{a}{b}", r"[?&]{a}=({b}|{a}x)",
+        r"/(.*/)?{a}\b", r"{a}\.(com|net)/{b}?", r"^https?://{a}", r"{a}s?$", r"\b{a}.?{b}", r"({a}|{b})+-x",
+    ]
+    rules = [
+        url_rules.PatternRule(f"r{i}", "block", shapes[i % len(shapes)].format(a=rnd.choice(words), b=rnd.choice(words)))
+        for i in range(3000)
+    ]
+    urls = [
+        "http://" + "".join(rnd.choice([*words, "-", "/", ".", "?", "=", "com", "12", "_", "é"], rnd.integers(1, 9)))
+        for _ in range(300)
+    ]
+    known = {one for held in url_rules.literals_of(rules).values() for options in held for one in options}
+    counts = {}
+    for url in urls:
+        for one in url_rules.Literals(known).of(url):
+            counts[one] = counts.get(one, 0) + 1
+    index = url_rules.PatternIndex(rules, counts)
+    compiled = [re.compile(rule.pattern, re.DOTALL) for rule in rules]
+    run = matches = 0
+    for url in urls:
+        fits = [i for i, pattern in enumerate(compiled) if pattern.search(url)]
+        met = index.candidates(url)
+        assert set(fits) <= set(met), url
+        assert index.first(url) == (rules[fits[0]] if fits else None)
+        run, matches = run + len(met), matches + len(fits)
+    assert matches > 100 and run < 0.02 * len(rules) * len(urls)
 
 
 def plain_license(text):
