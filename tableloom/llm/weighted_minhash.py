@@ -36,9 +36,13 @@ CELL_BITS = 18
 #: Share by which a shingle in one document outweighs one that all documents have.
 IDF_SHARE = 0.2
 #: Rounds in which texts outside the largest class meet a member of it.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 #: Texts, and weight of their shingles, that a task holds to compare others with, about.
 HELD_TEXTS, HELD_WEIGHT = 256, 500_000
+#: Places at once where shingles of given texts meet those of held ones.
+MEETINGS = 1 << 20
+#: Bits of the map that tells most texts alone from those that share bands: a fixed bound.
+MAP_BITS = 26
 #: Texts that pass by what a task holds, about.
 STRIPE = 2_048
 #: Keys that a task remembers to drop copies.
@@ -230,7 +234,7 @@ class Held:
         order = np.argsort(found.hashes, kind="stable")
         sizes = np.diff(found.bounds)
         weights = found.occurrences * factors[cells(found.hashes)].astype(np.float64)
-        self.keys = np.array(keys)
+        self.keys = np.array(keys, dtype=object)
         self.hashes = found.hashes[order]
         self.owners = np.repeat(np.arange(len(keys)), sizes)[order]
         self.weights = weights[order]
@@ -240,20 +244,34 @@ class Held:
         self, keys: list[str], found: Shingles, factors: np.ndarray, least: float
     ) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a held key and a given one whose texts are similar enough."""
-        n, k = len(keys), len(self.keys)
         weights = found.occurrences * factors[cells(found.hashes)].astype(np.float64)
-        rows = np.repeat(np.arange(n), np.diff(found.bounds))
-        totals = np.bincount(rows, weights, n)
         begins = np.searchsorted(self.hashes, found.hashes)
         often = np.searchsorted(self.hashes, found.hashes, "right") - begins
-        met = np.repeat(np.arange(len(often)), often)
+        # few given texts at a time, by the places where their shingles meet held ones
+        met = np.concatenate([[0], np.cumsum(often)])[found.bounds]
+        cuts = np.flatnonzero(np.diff(met[1:] // MEETINGS, prepend=-1)).tolist()
+        names = np.array(keys, dtype=object)
+        pairs = []
+        for first, last in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+            own = slice(found.bounds[first], found.bounds[last])
+            rows = np.repeat(np.arange(last - first), np.diff(found.bounds[first : last + 1]))
+            near = self._near(rows, weights[own], begins[own], often[own], last - first, least)
+            pairs.append((near[1], near[0] + first))
+        a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, int)
+        b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, int)
+        apart = self.keys[a] != names[b]
+        return a[apart], b[apart]
+
+    def _near(self, rows, weights, begins, often, n: int, least: float) -> tuple:
+        """Rows and held texts that are similar enough, from the places of the rows' shingles."""
+        k = len(self.keys)
+        totals = np.bincount(rows, weights, n)
+        given = np.repeat(np.arange(len(often)), often)
         at = np.repeat(begins - np.cumsum(often) + often, often) + np.arange(often.sum())
-        least_weights = np.minimum(weights[met], self.weights[at])
-        shared = np.bincount(rows[met] * k + self.owners[at], least_weights, n * k).reshape(n, k)
+        both = np.minimum(weights[given], self.weights[at])
+        shared = np.bincount(rows[given] * k + self.owners[at], both, n * k).reshape(n, k)
         either = totals[:, None] + self.totals - shared
-        b, a = np.nonzero((shared >= least * either) & (either > 0))
-        apart = self.keys[a] != np.array(keys, dtype=object)[b]
-        return a[apart], b[apart]
+        return np.nonzero((shared >= least * either) & (either > 0))
 
 
 def linked(cell_rows: DataFrame, contents: DataFrame, factors: np.ndarray, least: float) -> DataFrame:
@@ -457,21 +475,48 @@ def block_cells(held: DataFrame) -> DataFrame:
     )
 
 
-def one_a_task(rows: DataFrame) -> DataFrame:
-    """Rows without those whose key the same task has met before, so copies stay where they are."""
+def place_in_map(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
+
+
+def key_map(keys: DataFrame) -> np.ndarray:
+    """Words of 64 bits, a bit set for every key; at most one row per word is collected."""
+    placed = keys.select(place_in_map(F.col("key")).alias("place"))
+    words = placed.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits")
+    )
+    found = words.toPandas()
+    made = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    made[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
+    return made.view(np.uint64)
+
+
+def contents_of(rows: DataFrame, involved: DataFrame) -> DataFrame:
+    """One row ``key``, ``text`` of every involved key.
+
+    Texts whose keys the map leaves out and copies met before by the same task stay
+    where they are; the others are shuffled. A map that is too full only spares less.
+    """
+    spark = rows.sparkSession
+    known = spark.sparkContext.broadcast(key_map(involved))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[str] = set()
         for batch in batches:
-            kept = []
-            for key in batch.column("key").to_pylist():
-                kept.append(key not in met)
-                met.add(key)
+            place = batch.column("place").to_numpy().astype(np.uint64)
+            bits = known.value[place >> np.uint64(6)] >> (place & np.uint64(63))
+            kept = (bits & np.uint64(1)).astype(bool)
+            keys = batch.column("key").to_pylist()
+            for i in np.flatnonzero(kept).tolist():
+                kept[i] = keys[i] not in met
+                met.add(keys[i])
             if len(met) > REMEMBERED_KEYS:
                 met = set()
-            yield batch.filter(pa.array(kept, pa.bool_()))
+            yield batch.select(["key", "text"]).filter(pa.array(kept))
 
-    return rows.mapInArrow(first, rows.schema)
+    placed = rows.select("key", "text", place_in_map(F.col("key")).alias("place"))
+    few = placed.mapInArrow(first, "key string, text string")
+    return few.join(involved, "key", "left_semi").dropDuplicates(["key"])
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -498,8 +543,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> Classes:
     class. Other columns are not read.
 
     Each text first meets the most crowded text that shares a pair of bands with it.
-    Then, some times over, texts outside the largest class of a bucket meet some
-    member of that class. This joins most of a group at a price of one comparison
+    Then texts outside the largest class of a bucket meet some member of that class. This joins most of a group at a price of one comparison
     a text and round. What is still apart, though it shares a pair of bands, is
     compared completely, in blocks: every text outside the largest class of a band
     with all texts of that band.
@@ -519,11 +563,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> Classes:
     bands = band_members(nodes)
     members = bucket_members(bands)
     involved = cut_lineage(members.select("key").distinct())
-    contents = cut_lineage(
-        one_a_task(rows.select("key", "text"))
-        .join(involved, "key", "left_semi")
-        .dropDuplicates(["key"])
-    )
+    contents = cut_lineage(contents_of(rows, involved))
     classes = docs.sparkSession.createDataFrame([], "key string, class string")
 
     def joined(cell_rows: DataFrame) -> DataFrame:
