@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -30,7 +31,7 @@ from tableloom.llm.words import gather, in_pieces, words_of
 #: A block ends with the document that brings it to so many ids.
 BLOCK_IDS = 8_192
 #: Words that a worker remembers before it forgets those not met since it last did.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 400_000
 #: Texts or words handed to the library at once, whose token objects then go.
 ENCODED_AT_ONCE = 4_096
 
@@ -112,6 +113,52 @@ def own_cut(described: dict) -> str | None:
     return pattern if _meets_no_white_space(pattern) else None
 
 
+_PUNCTUATION = ".,"
+
+
+def keeps_punctuation_apart(pattern: str) -> bool:
+    """Whether no alternative of such a pattern takes an ASCII letter together with a stop or comma."""
+    at = 0
+    mixed = [False, False]
+    while at < len(pattern):
+        if pattern[at] == "|":
+            at, mixed = at + 1, [False, False]
+            continue
+        atom = _ATOM.match(pattern, at)
+        mixed[0] |= any(regex.fullmatch(atom[1], c) for c in string.ascii_letters)
+        mixed[1] |= any(regex.fullmatch(atom[1], c) for c in _PUNCTUATION)
+        if all(mixed):
+            return False
+        at = atom.end()
+    return True
+
+
+class Folds:
+    """Spellings of a word that a tokenizer is sure to treat alike, but for stops and commas at its end.
+
+    Those are parts of their own after an ASCII letter if the tokenizer's pattern keeps them
+    apart. ASCII letters count as small ones if the tokenizer makes them small.
+    """
+
+    def __init__(self, described: dict):
+        added = "".join(token["content"] for token in described["added_tokens"])
+        pattern = own_cut(described)
+        # an added token must not come to light by folding
+        plain = pattern is not None and not regex.search(r"^[A-Za-z.,]+$", added)
+        self.tails = plain and keeps_punctuation_apart(pattern)
+        steps = {step["type"] for step in _steps(described["normalizer"], "normalizers")}
+        self.lower = plain and "Lowercase" in steps
+
+    def of(self, word: str) -> tuple[str, str]:
+        core = word.rstrip(_PUNCTUATION) if self.tails else word
+        if not core or core[-1] not in string.ascii_letters:
+            return word, ""
+        tail = word[len(core) :]
+        if self.lower and core.isascii() and core.isalpha():
+            core = core.lower()
+        return core, tail
+
+
 def splits_at_white_space(described: dict) -> bool:
     """Whether the words of a text can be encoded one by one, proven from a tokenizer's description.
 
@@ -144,11 +191,14 @@ class Encoder:
 
     def __init__(self, path: str, end_id: int):
         self.model = tokenizer(path)
-        self.by_words = splits_at_white_space(json.loads(self.model.to_str()))
+        described = json.loads(self.model.to_str())
+        self.by_words = splits_at_white_space(described)
+        self.folds = Folds(described)
         self.bits = bits_for(self.model.get_vocab_size())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.end = np.array([end_id], self.kind)
         self.known = Remembered(REMEMBERED_WORDS)
+        self.folded = Remembered(REMEMBERED_WORDS)
 
     def made(self, listed: list[str]) -> Iterator[bytes]:
         for begin in range(0, len(listed), ENCODED_AT_ONCE):
@@ -158,13 +208,20 @@ class Encoder:
             flat = np.fromiter(chain.from_iterable(ids), self.kind, ends[-1] // self.kind.itemsize)
             yield from _sliced(flat.tobytes(), ends)
 
+    def new_words(self, listed: list[str]) -> Iterator[bytes]:
+        """Ids of words, of which only spellings that are new are encoded."""
+        parts = list(map(self.folds.of, listed))
+        distinct = list(dict.fromkeys(chain.from_iterable(parts)))
+        ids = dict(zip(distinct, self.folded.of(distinct, self.made), strict=True))
+        return (ids[core] + ids[tail] for core, tail in parts)
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text and the end id, as little-endian integers."""
         end = self.end.tobytes()
         if not self.by_words:
             return [ids + end for ids in self.made([t or "" for t in texts.to_pylist()])]
         words = words_of(texts)
-        made = self.known.of(words.listed, self.made)
+        made = self.known.of(words.listed, self.new_words)
         lengths = np.fromiter(map(len, made), np.int64, len(made)) // self.kind.itemsize
         flat = np.frombuffer(b"".join(made), self.kind)
         ids = gather(flat, lengths, words.codes).tobytes()
@@ -184,13 +241,19 @@ class Remembered:
         if len(self.now) > self.most:
             self.now, self.older = {}, self.now
         now, older = self.now, self.older
-        new = [text for text in listed if text not in now]
+        found = list(map(now.get, listed))
+        fresh = [i for i, ids in enumerate(found) if ids is None]
+        missing = fresh
         if older:
-            now.update((text, older[text]) for text in new if text in older)
-            new = [text for text in new if text not in now]
-        if new:
-            now.update(zip(new, make(new), strict=True))
-        return [now[text] for text in listed]
+            for i in fresh:
+                found[i] = older.get(listed[i])
+            missing = [i for i in fresh if found[i] is None]
+        if missing:
+            made = make([listed[i] for i in missing])
+            for i, ids in zip(missing, made, strict=True):
+                found[i] = ids
+        now.update((listed[i], found[i]) for i in fresh)
+        return found
 
 
 def _sliced(data: bytes, ends: np.ndarray) -> Iterator[bytes]:

@@ -127,6 +127,7 @@ def test_any_tokenizer_gives_the_ids_of_the_whole_text(name, by_words, monkeypat
     assert encoder.by_words is by_words
     rnd = np.random.default_rng(3)
     parts = [" ", "\t", "\n", "\x0b", "\xa0", "\u2003", "a", "Don't", "ÀÉ", "e\u0301", "\u0301", "ΣΑΣ", "漢字", "12", "!?"]
+    parts += ["don.", "Don,", "DON", "x.,", ".", ",x", "é.", "E."]
     parts += ["<|endoftext|>", "<|startoftext|>", "\x1c", "\u200b", "İ", "ß", "\U0001f600", "'s", "_"]
     texts = ["".join(rnd.choice(parts, rnd.integers(0, 30))) for _ in range(600)] + [None, ""]
     for begin in range(0, len(texts), 100):
@@ -150,6 +151,11 @@ def test_only_proven_tokenizers_are_cut_at_white_space():
     assert not token_files.splits_at_white_space(described)
 
 
+def test_punctuation_is_cut_off_only_where_the_pattern_does():
+    for pattern, apart in ((r"\p{L}+|[^\s\p{L}]+", True), (r"[a-z.]+", False), (r"x\.|[a-z]+", False), ("'s|[.,]+", True)):
+        assert token_files.keeps_punctuation_apart(pattern) is apart, pattern
+
+
 def test_a_hot_key_is_split_and_random_access_reads_one_block(spark):
     rows = [(7, f"w{i} " * 40) for i in range(3000)] + [(i, "x y") for i in range(8, 3000)]
     files = scratch_path(spark, "tokens")
