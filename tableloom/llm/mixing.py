@@ -234,7 +234,8 @@ def chosen(rows: DataFrame, plan: Plan) -> DataFrame:
     filling = spark.createDataFrame([], "filling long")
     for _ in range(FILLING_ROWS):
         gap, met = filled(marked.where(~F.col("more")), gap, filling)
-        filling = filling.union(met)
+        # written out, so that its size is known and the rows need not move to meet it
+        filling = cut_lineage(filling.union(met))
     taken = F.col("more") | F.col("filling").isNotNull()
     copies = F.when(F.col("_size") > 0, F.col("full") + taken.cast("long")).otherwise(F.lit(0))
     return marked.join(filling, F.col("_row") == F.col("filling"), "left").withColumn("copies", copies.cast("long"))

@@ -538,3 +538,21 @@ def test_pipeline_stages_act(spark, folder):
     assert mixed.columns == docs.columns
     packed = corpus_pipeline.packed(spark, mixed, folder)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in mixed.collect()}
+
+
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_pipeline_runs_on_odd_and_empty_tables(spark, odd_documents, no_documents, kind):
+    """All stages one after the other; a document of the result is one that every stage kept."""
+    sf_dir = scratch_path(spark, "tables")
+    docs = odd_documents if kind == "odd" else no_documents
+    docs.write.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.createDataFrame([(1, 1, 0), (5, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{sf_dir}/labels.parquet")
+    made = corpus_pipeline.run(spark, sf_dir).collect()
+    if kind == "empty":
+        assert made == []
+        return
+    kept = docs.where("doc_id IN (1, 2, 3, 6)").select("doc_id").distinct()
+    assert {r.doc_id for r in made} <= {r.doc_id for r in kept.collect()}
+    places = [(r.bin, r.offset) for r in made if r.n_words]
+    assert len(places) == len(set(places))
