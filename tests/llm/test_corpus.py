@@ -151,11 +151,6 @@ def test_only_proven_tokenizers_are_cut_at_white_space():
     assert not token_files.splits_at_white_space(described)
 
 
-def test_punctuation_is_cut_off_only_where_the_pattern_does():
-    for pattern, apart in ((r"\p{L}+|[^\s\p{L}]+", True), (r"[a-z.]+", False), (r"x\.|[a-z]+", False), ("'s|[.,]+", True)):
-        assert token_files.keeps_punctuation_apart(pattern) is apart, pattern
-
-
 def test_a_hot_key_is_split_and_random_access_reads_one_block(spark):
     rows = [(7, f"w{i} " * 40) for i in range(3000)] + [(i, "x y") for i in range(8, 3000)]
     files = scratch_path(spark, "tokens")
