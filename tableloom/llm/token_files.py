@@ -13,16 +13,19 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
+from copy import copy
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, normalizers
 
 from tableloom.llm.tables import partitions, texts
 from tableloom.llm.words import gather, in_pieces, words_of
@@ -65,9 +68,7 @@ def unpack(payload: bytes, bits: int, first: int, n: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str):
-    from tokenizers import Tokenizer
-
+def tokenizer(path: str) -> Tokenizer:
     # a task has one core; without this the library starts a thread for every core of the machine
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Tokenizer.from_file(path)
@@ -135,6 +136,24 @@ def splits_at_white_space(described: dict) -> bool:
     return whole and (drops or first["type"] in _SAFE_CUTS)
 
 
+def plain_tokenizer(model: Tokenizer, described: dict) -> tuple[Tokenizer | None, re.Pattern]:
+    """The tokenizer without the steps that leave certain words unchanged, and a pattern of these words.
+
+    No Unicode form changes printable ASCII, and NFC no Latin-1 either; in neither there is
+    white space to replace. Lower-casing remains, and leads out of neither. None stands for
+    a tokenizer that cuts or fills sequences, or looks for added tokens in normalised text.
+    """
+    steps = [step["type"] for step in _steps(described["normalizer"], "normalizers")]
+    latin = {"NFC", "Lowercase", "Replace"}.issuperset(steps)
+    words = re.compile("[!-~\xa1-\xff]+" if latin else "[!-~]+")
+    normalised = any(token["normalized"] for token in described["added_tokens"])
+    if described["truncation"] or described["padding"] or normalised:
+        return None, words
+    plain = Tokenizer.from_str(model.to_str())
+    plain.normalizer = normalizers.Sequence([normalizers.Lowercase()] * ("Lowercase" in steps))
+    return plain, words
+
+
 class Encoder:
     """Ids of texts as the library makes them of the whole text.
 
@@ -144,61 +163,120 @@ class Encoder:
 
     def __init__(self, path: str, end_id: int):
         self.model = tokenizer(path)
-        self.by_words = splits_at_white_space(json.loads(self.model.to_str()))
+        described = json.loads(self.model.to_str())
+        self.by_words = splits_at_white_space(described)
+        self.plain, self.plain_words = None, None
+        if self.by_words:
+            self.plain, self.plain_words = plain_tokenizer(self.model, described)
         self.bits = bits_for(self.model.get_vocab_size())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.end = np.array([end_id], self.kind)
-        self.known = Remembered(REMEMBERED_WORDS)
-
-    def made(self, listed: list[str]) -> Iterator[bytes]:
-        for begin in range(0, len(listed), ENCODED_AT_ONCE):
-            some = listed[begin : begin + ENCODED_AT_ONCE]
-            ids = [one.ids for one in self.model.encode_batch_fast(some, add_special_tokens=False)]
-            ends = np.cumsum([0, *map(len, ids)]) * self.kind.itemsize
-            flat = np.fromiter(chain.from_iterable(ids), self.kind, ends[-1] // self.kind.itemsize)
-            yield from _sliced(flat.tobytes(), ends)
+        self.known = Remembered(REMEMBERED_WORDS, self.kind)
+
+    def _encoded(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [one.ids for one in self.model.encode_batch_fast(listed, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), self.kind, sizes.sum()), sizes
+
+    def _encoded_plain(self, listed: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words as one sequence, in which the library keeps the word of every id."""
+        one = self.plain.encode(listed, is_pretokenized=True, add_special_tokens=False)
+        sizes = np.bincount(np.array(one.word_ids, np.int64), minlength=len(listed))
+        return np.array(one.ids, self.kind), sizes
+
+    def made(self, listed: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Some of the words, all their ids and how many each has, until no word is left."""
+        kinds = [(self._encoded, listed)]
+        if self.plain is not None:
+            are = list(map(self.plain_words.fullmatch, listed))
+            kinds = [
+                (self._encoded_plain, [word for word, is_ in zip(listed, are, strict=True) if is_]),
+                (self._encoded, [word for word, is_ in zip(listed, are, strict=True) if not is_]),
+            ]
+        for encoded, words in kinds:
+            for begin in range(0, len(words), ENCODED_AT_ONCE):
+                some = words[begin : begin + ENCODED_AT_ONCE]
+                yield some, *encoded(some)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text and the end id, as little-endian integers."""
         end = self.end.tobytes()
         if not self.by_words:
-            return [ids + end for ids in self.made([t or "" for t in texts.to_pylist()])]
+            whole, made = [t or "" for t in texts.to_pylist()], []
+            for begin in range(0, len(whole), ENCODED_AT_ONCE):
+                flat, sizes = self._encoded(whole[begin : begin + ENCODED_AT_ONCE])
+                ends = np.cumsum([0, *sizes]) * self.kind.itemsize
+                made += [ids + end for ids in _sliced(flat.tobytes(), ends)]
+            return made
         words = words_of(texts)
-        made = self.known.of(words.listed, self.made)
-        lengths = np.fromiter(map(len, made), np.int64, len(made)) // self.kind.itemsize
-        flat = np.frombuffer(b"".join(made), self.kind)
-        ids = gather(flat, lengths, words.codes).tobytes()
-        ends = np.concatenate([[0], np.cumsum(lengths[words.codes])])[words.bounds]
+        picked = self.known.numbers(words.listed, self.made)[words.codes]
+        flat, sizes = self.known.ids()
+        ids = gather(flat, sizes, picked).tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes[picked])])[words.bounds]
         return [one + end for one in _sliced(ids, ends * self.kind.itemsize)]
 
 
 class Remembered:
-    """Ids by text. Beyond ``most`` texts those go that were not met since that last happened."""
+    """Numbered words and their ids. Beyond ``most`` words those go that were not met since that last happened."""
 
-    def __init__(self, most: int):
+    def __init__(self, most: int, kind: np.dtype):
         self.most = most
-        self.now: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def of(self, listed: list[str], make: Callable[[list[str]], Iterator[bytes]]) -> list[bytes]:
-        if len(self.now) > self.most:
-            self.now, self.older = {}, self.now
-        now, older = self.now, self.older
-        found = list(map(now.get, listed))
-        fresh = [i for i, ids in enumerate(found) if ids is None]
-        missing = fresh
-        if older:
-            for i in fresh:
-                found[i] = older.get(listed[i])
-            missing = [i for i in fresh if found[i] is None]
-        if missing:
-            made = make([listed[i] for i in missing])
-            for i, ids in zip(missing, made, strict=True):
-                found[i] = ids
-        now.update((listed[i], found[i]) for i in fresh)
+        self.kind = kind
+        self.older: Remembered | None = None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.n_ids = 0
+        self.flat, self.sizes = np.empty(0, self.kind), np.empty(0, np.int64)
+
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many each has."""
+        return self.flat[: self.n_ids], self.sizes[: len(self.known)]
+
+    def add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.known)
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+        self.flat = _appended(self.flat, self.n_ids, flat)
+        self.sizes = _appended(self.sizes, n, sizes)
+        self.n_ids += len(flat)
+
+    def _found(self, listed: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, listed, repeat(-1)), np.int64, len(listed))
+
+    def numbers(self, listed: list[str], make: Callable) -> np.ndarray:
+        """The number of each of the distinct words; ``make`` gives ids of those not known."""
+        if len(self.known) > self.most:
+            self.older = copy(self)
+            self.older.older = None
+            self._clear()
+        found = self._found(listed)
+        fresh = np.flatnonzero(found < 0)
+        if not len(fresh):
+            return found
+        missing = [listed[i] for i in fresh.tolist()]
+        if self.older:
+            before = self.older._found(missing)
+            kept = before[before >= 0]
+            flat, sizes = self.older.ids()
+            words = [word for word, number in zip(missing, before.tolist(), strict=True) if number >= 0]
+            self.add(words, gather(flat, sizes, kept), sizes[kept])
+            missing = [word for word, number in zip(missing, before.tolist(), strict=True) if number < 0]
+        for words, flat, sizes in make(missing):
+            self.add(words, flat, sizes)
+        found[fresh] = self._found([listed[i] for i in fresh.tolist()])
         return found
 
 
+def _appended(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``more`` behind the first ``used`` entries, in an array of twice the size if there is no room."""
+    upto = used + len(more)
+    if upto > len(held):
+        held = np.concatenate([held[:used], np.empty(2 * upto - used, held.dtype)])
+    held[used:upto] = more
+    return held
+
+
 def _sliced(data: bytes, ends: np.ndarray) -> Iterator[bytes]:
     ends = ends.tolist()
     return (data[a:b] for a, b in zip(ends, ends[1:], strict=False))

@@ -48,7 +48,7 @@ def words_of(texts: pa.Array) -> Words:
     parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     coded = parts.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
-    listed = coded.dictionary.to_pylist()
+    listed = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     ends = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())]).astype(int)
     if "" in listed:
         kept = codes != listed.index("")

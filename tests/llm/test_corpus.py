@@ -137,6 +137,54 @@ def test_any_tokenizer_gives_the_ids_of_the_whole_text(name, by_words, monkeypat
             assert np.frombuffer(ids, encoder.kind).tolist() == wanted, text
 
 
+@pytest.mark.parametrize("forms", [["NFC", "Lowercase"], ["NFKC", "StripAccents"], ["Lowercase", "NFD"], []])
+@pytest.mark.parametrize("added", [None, "e\u0301", "x"])
+def test_plain_words_are_encoded_as_one_sequence(forms, added, tmp_path, monkeypatch):
+    described = json.loads(Tokenizer.from_file(queries.WORD_PIECES).to_str())
+    described["normalizer"] = {"type": "Sequence", "normalizers": [{"type": form} for form in forms]}
+    path = str(tmp_path / "tokenizer.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(described, file)
+    if added:
+        wider = Tokenizer.from_file(path)
+        wider.add_tokens([added])
+        wider.save(path)
+    model, encoder, single = Tokenizer.from_file(path), token_files.Encoder(path, 1), []
+    assert encoder.by_words and (encoder.plain is None) == bool(added)
+    alone = encoder._encoded
+    monkeypatch.setattr(encoder, "_encoded", lambda words: single.extend(words) or alone(words))
+    near = [chr(c) for c in range(33, 0x180)]
+    texts = [f"{a}B{a} é{a}" for a in near] + ["ÀÉx the<|endoftext|>", "e\u0301 ²ªµ", "", None]
+    for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+        wanted = model.encode(text or "", add_special_tokens=False).ids + [1]
+        assert np.frombuffer(ids, encoder.kind).tolist() == wanted, text
+    if not added:
+        last = "\xff" if "NFC" in forms or not forms else "~"
+        assert all(any(not "!" <= c <= last or "~" < c < "\xa1" for c in word) for word in single if word)
+
+
+def test_sequences_are_not_cut_or_filled(tmp_path):
+    model = Tokenizer.from_file(queries.WORD_PIECES)
+    model.enable_truncation(3)
+    model.save(str(tmp_path / "cut.json"))
+    assert token_files.Encoder(str(tmp_path / "cut.json"), 1).plain is None
+
+
+def test_words_not_met_again_are_forgotten():
+    known, made = token_files.Remembered(3, np.dtype("<u2")), []
+
+    def make(words):
+        made.extend(words)
+        yield words, np.array([len(w) for w in words for _ in w], np.uint16), np.array([len(w) for w in words])
+
+    for listed in (["a", "bb"], ["ccc", "", "bb"], ["bb", "dddd"], [], ["eeeee", "bb", "f"], ["a", "bb"]):
+        picked = known.numbers(listed, make)
+        flat, sizes = known.ids()
+        lists = np.split(flat, np.cumsum(sizes)[:-1])
+        assert [lists[i].tolist() for i in picked] == [[len(w)] * len(w) for w in listed]
+    assert made == ["a", "bb", "ccc", "", "dddd", "eeeee", "f", "a"]
+
+
 def test_only_proven_tokenizers_are_cut_at_white_space():
     described = json.loads(Tokenizer.from_file(queries.WORD_PIECES).to_str())
     assert token_files.splits_at_white_space(described)
