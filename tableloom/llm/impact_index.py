@@ -43,26 +43,34 @@ CELLS = "query long, query_row long, vec long, score long"
 
 
 class ImpactIndex:
-    """Segments of equal quantised impact, by dimension, over the rows of a block."""
+    """Segments of equal quantised impact, by dimension, over the rows of a block.
+
+    The segments of all dimensions stand one after the other, by dimension and rising
+    impact, and so do their rows in ``postings``.
+    """
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
         n, width = rows.shape
         levels = rows // LEVEL
         order = np.argsort(levels, axis=0, kind="stable")
-        sorted_levels = np.take_along_axis(levels, order, 0)
-        values = np.take_along_axis(rows, order, 0)
-        self.postings = np.ascontiguousarray(order.T)
-        self.low = np.empty((width, n))
-        self.high = np.empty((width, n))
-        self.begins = []
-        for d in range(width):
-            begins = np.flatnonzero(np.diff(sorted_levels[:, d], prepend=sorted_levels[0, d] - 1))
-            sizes = np.diff(begins, append=n)
-            own = np.ascontiguousarray(values[:, d])
-            self.low[d] = np.repeat(np.minimum.reduceat(own, begins), sizes)
-            self.high[d] = np.repeat(np.maximum.reduceat(own, begins), sizes)
-            self.begins.append(begins)
+        sorted_levels = np.take_along_axis(levels, order, 0).T
+        values = np.ascontiguousarray(np.take_along_axis(rows, order, 0).T).ravel()
+        self.postings = np.ascontiguousarray(order.T).ravel()
+        new = np.ones((width, n), bool)
+        new[:, 1:] = sorted_levels[:, 1:] != sorted_levels[:, :-1]
+        begins = np.flatnonzero(new)
+        self.ends = np.append(begins, n * width)
+        self.sizes = np.diff(self.ends)
+        self.dimension = begins // max(n, 1)
+        self.first = np.searchsorted(begins, np.arange(width) * n)
+        self.low = np.minimum.reduceat(values, begins).astype(float) if n * width else np.empty(0)
+        self.high = np.maximum.reduceat(values, begins).astype(float) if n * width else np.empty(0)
+        self.exact = rows.astype(float)
+
+    def _scores(self, found: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact: sums of components stay below ``EXACT``."""
+        return (self.exact[found] @ query).astype(np.int64)
 
     def top(self, query: np.ndarray, k: int, barred: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Rows that may be among the ``k`` best, and their exact scores.
@@ -71,53 +79,48 @@ class ImpactIndex:
         whole. The row ``barred`` is left out.
         """
         n, width = self.rows.shape
-        used = np.flatnonzero(query)
-        if not n or not used.size:
+        used = np.count_nonzero(query)
+        if not n or not used:
             found = np.flatnonzero(np.arange(n) != barred)
             return found, np.zeros(len(found), np.int64)
-        # positions by gain: from the last posting down for positive weights, else from the first
-        gains, floors, sizes = [], [], []
-        for d in used.tolist():
-            weight, begins = float(query[d]), self.begins[d]
-            reached = weight * (self.high if weight > 0 else self.low)[d, begins]
-            floors.append(reached.min())
-            gains.append(reached - floors[-1])
-            sizes.append(np.diff(begins, append=n))
-        every, counts = np.concatenate(gains), np.concatenate(sizes)
-        falling = np.argsort(-every, kind="stable")
-        walked = np.cumsum(counts[falling])
-        most = np.array([g.max() for g in gains])
-        floor, left = sum(floors), n * len(used)
-        done, gathered, best = [0] * len(used), np.zeros(n), -np.inf
+        query = query.astype(float)
+        weights = query[self.dimension]
+        reached = weights * np.where(weights > 0, self.high, self.low)
+        floors = np.minimum.reduceat(reached, self.first)
+        gains = reached - floors[self.dimension]
+        most = np.maximum.reduceat(gains, self.first)
+        # segments of dimensions that the query lacks add nothing and are not walked
+        ready = weights != 0
+        falling = np.argsort(np.where(ready, -gains, 1.0), kind="stable")
+        walked = np.cumsum(self.sizes[falling])
+        floor, left, done = floors.sum(), n * used, 0
+        gathered, best = np.zeros(n), -np.inf
         for share in (*CHECKPOINTS, 1.0):
-            at = int(np.searchsorted(walked, share * left))
-            reach = every[falling[min(at, len(falling) - 1)]] if share < 1 else 0.0
-            met, weights = [], []
-            for i, d in enumerate(used.tolist()):
-                upto = int(sizes[i][gains[i] >= reach].sum())
-                if upto == done[i]:
-                    continue
-                weight = float(query[d])
-                piece = slice(n - upto, n - done[i]) if weight > 0 else slice(done[i], upto)
-                met.append(self.postings[d, piece])
-                impact = (self.high if weight > 0 else self.low)[d, piece]
-                weights.append(weight * impact + (MET - floors[i]))
-                done[i] = upto
-            if met:
-                gathered += np.bincount(np.concatenate(met), np.concatenate(weights), n)
-            dimensions = np.floor_divide(gathered, MET)
-            bound = gathered - dimensions * MET - dimensions * reach
+            at = min(int(np.searchsorted(walked, share * left)), len(falling) - 1)
+            reach = gains[falling[at]] if share < 1 else 0.0
+            now = np.flatnonzero(ready & (gains >= reach))
+            if now.size:
+                ready[now] = False
+                sizes = self.sizes[now]
+                done += int(sizes.sum())
+                # the segments in reach are one run for each dimension, or few
+                gaps = np.flatnonzero(np.diff(now) != 1)
+                begins = self.ends[now[np.append(0, gaps + 1)]].tolist()
+                ends = self.ends[now[np.append(gaps, len(now) - 1)] + 1].tolist()
+                met = [self.postings[a:b] for a, b in zip(begins, ends, strict=True)]
+                gathered += np.bincount(np.concatenate(met), np.repeat(gains[now] + MET, sizes), n)
+            dimensions = np.floor(gathered / MET)
+            bound = gathered - dimensions * (MET + reach)
             bound += floor + np.minimum(most, reach).sum()
             if 0 <= barred < n:
                 bound[barred] = -np.inf
             if n > k:
                 likely = np.argpartition(-bound, k - 1)[:k]
-                exact = self.rows[likely] @ query
                 if not 0 <= barred < n or barred not in likely:
-                    best = max(best, float(exact.min()))
+                    best = max(best, float(self._scores(likely, query).min()))
             possible = np.flatnonzero(bound >= best) if best > -np.inf else np.flatnonzero(bound > -np.inf)
-            if len(possible) * width <= left - sum(done) or share == 1:
-                return possible, self.rows[possible] @ query
+            if len(possible) * width <= left - done or share == 1:
+                return possible, self._scores(possible, query)
         raise AssertionError("the last share walks all postings")
 
 
@@ -160,6 +163,9 @@ def _cells(width: int, k: int, wide: bool):
         else:
             found, scores = index.top(query, k, own)
         keys, null = vecs
+        if len(found) > k:
+            reach = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            found, scores = found[reach], scores[reach]
         first = np.lexsort((keys[found], null[found], ~scores))[:k]
         return found[first], scores[first]
 

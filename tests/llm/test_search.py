@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 from math import floor, log
@@ -40,6 +41,37 @@ def test_index_keeps_all_members(spread):
             assert reach <= set(found.tolist())
 
 
+@pytest.mark.parametrize("n, width, k", [(1, 1, 1), (1, 5, 3), (4, 3, 9), (300, 1, 5), (300, 40, 1), (900, 7, 5)])
+def test_index_of_any_shape(n, width, k):
+    rng = np.random.default_rng(n + width)
+    rows = rng.integers(-60, 61, (n, width))
+    rows[:, ::3] = 7
+    queries = rng.integers(-60, 61, (40, width)) * rng.integers(0, 2, (40, width))
+    index = ImpactIndex(rows)
+    for query in [*queries, *rows[:5]]:
+        for own in (-1, n - 1):
+            found, scores = index.top(query, k, own)
+            every = rows @ query
+            others = np.delete(np.arange(n), own) if own >= 0 else np.arange(n)
+            assert scores.dtype == np.int64 and (scores == every[found]).all()
+            assert len(set(found.tolist())) == len(found) and own not in found
+            bar = np.sort(every[others])[-min(k, len(others))] if len(others) else 0
+            assert set(others[every[others] >= bar].tolist()) <= set(found.tolist())
+
+
+def test_steps_of_a_walk_do_not_grow_with_the_dimensions():
+    rng = np.random.default_rng(7)
+    rows = np.floor(rng.normal(0, 30, (4096, 64))).astype(int)
+    index, calls = ImpactIndex(rows), []
+    for query in rows[:10]:
+        sys.setprofile(lambda _, event, __: calls.append(event) if event.endswith("call") else None)
+        try:
+            index.top(query, 5, 0)
+        finally:
+            sys.setprofile(None)
+    assert len(calls) < 10 * 600
+
+
 def test_index_ends_before_all_rows():
     rng = np.random.default_rng(1)
     rows = np.round(rng.exponential(4, (4000, 8)) ** 2).astype(int)
